@@ -1,6 +1,6 @@
 """References to records that do not exist (yet, or any more).
 
-A Bloom filter of the parent keys, built by aggregation and carried as one scalar value, proves
+A Bloom filter of the parent keys, built by aggregation and carried in the plan as one literal, proves
 most orphans without a shuffle. Only filter-positive references go through the exact join. Whether
 a parent version covers the reference's time is a running maximum over (key, month) buckets, so
 neither a hot parent key nor a hot reference key meets in one task.
@@ -15,6 +15,7 @@ Defined results
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +29,8 @@ def _positions(key: Column, bits: int) -> list[Column]:
     return [F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(bits)) for seed in range(HASHES)]
 
 
-def bloom_filter(keys: DataFrame, key: str, bits: int | None = None) -> tuple[DataFrame, int]:
-    """One row with the filter's words, and its size in bits.
+def bloom_filter(keys: DataFrame, key: str, bits: int | None = None) -> bytes:
+    """The filter's bits; at most MAX_BITS / 8 bytes, whatever the number of keys.
 
     The size follows the number of keys (12 bits each) up to MAX_BITS; beyond that the filter only
     lets more references through to the exact join, the result stays the same.
@@ -43,16 +44,14 @@ def bloom_filter(keys: DataFrame, key: str, bits: int | None = None) -> tuple[Da
     words = pos.groupBy(F.shiftright("p", 6).alias("id")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("w"))
     every = keys.sparkSession.range(0, bits // 64, 1, 1).join(words, "id", "left")
     one = every.agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("w", F.lit(0)).alias("w")))).alias("ws"))
-    return one.select(F.transform("ws", lambda x: x["w"]).alias("words")), bits
+    return np.array(one.select(F.transform("ws", lambda x: x["w"])).first()[0], dtype="<i8").tobytes()
 
 
-def might_contain(words: Column, key: Column, bits: int) -> Column:
-    """False only if the key is surely not among the filter's keys."""
-    hit = F.lit(True)
-    for p in _positions(key, bits):
-        word = F.get(words, F.shiftright(p, 6).cast("int"))
-        hit = hit & ((F.call_function("shiftright", word, (p.bitwiseAND(F.lit(63))).cast("int")).bitwiseAND(F.lit(1))) == 1)
-    return hit
+def might_contain(filt: bytes, key: Column) -> Column:
+    """False only if the key is surely not among the filter's keys. The filter is one literal of the plan."""
+    byte = lambda p: F.conv(F.hex(F.substring(F.lit(bytearray(filt)), F.shiftright(p, 3).cast("int") + 1, 1)), 16, 10).cast("int")
+    bit = lambda p: F.call_function("shiftright", byte(p), p.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1))
+    return F.forall(F.array(*_positions(key, len(filt) * 8)), lambda p: bit(p) == 1)
 
 
 def orphans(refs: DataFrame, parents: DataFrame, bits: int | None = None) -> DataFrame:
@@ -63,16 +62,12 @@ def orphans(refs: DataFrame, parents: DataFrame, bits: int | None = None) -> Dat
     and ``kind``.
     """
     parents = parents.where("key is not null")
-    filt, bits = bloom_filter(parents, "key", bits)
-    marked = refs.withColumn("maybe", F.coalesce(might_contain(filt.scalar(), F.col("key"), bits), F.lit(False)) & F.col("key").isNotNull())
+    filt = bloom_filter(parents, "key", bits)
+    marked = refs.withColumn("maybe", F.col("key").isNotNull() & might_contain(filt, F.col("key")))
     sure = marked.where("not maybe").drop("maybe").withColumn("kind", F.lit("missing"))
 
     known = parents.groupBy("key").agg(F.min(F.struct(F.col("start").isNotNull().alias("bounded"), "start"))["start"].alias("begins"))
     rest = marked.where("maybe").drop("maybe").join(known.withColumn("found", F.lit(True)), "key", "left")
-    absent = rest.where("found is null").select(*refs.columns, F.lit("missing").alias("kind"))
-    early = rest.where("found and at < begins").select(*refs.columns, F.lit("late").alias("kind"))
-    late = rest.where("found and (at >= begins or begins is null or at is null)")
-    untimed = late.where("at is null").select(*refs.columns, F.lit("deleted").alias("kind"))
 
     # running maximum of the stops of all versions begun so far
     start = F.coalesce("start", F.lit("0001-01-01").cast("timestamp_ntz"))
@@ -81,16 +76,17 @@ def orphans(refs: DataFrame, parents: DataFrame, bits: int | None = None) -> Dat
         .groupBy("key", start.alias("at"))
         .agg(F.max(F.coalesce("stop", F.lit("9999-12-31").cast("timestamp_ntz"))).alias("stop"))
     )
-    ref = F.struct(*refs.columns)
-    nothing = F.lit(None).cast(late.select(ref.alias("r")).schema["r"].dataType)
+    ref = F.struct(*refs.columns, F.coalesce("found", F.lit(False)).alias("found"), "begins")
+    nothing = F.lit(None).cast(rest.select(ref.alias("r")).schema["r"].dataType)
     events = versions.select("key", "at", "stop", F.lit(0).alias("is_ref"), nothing.alias("r")).unionByName(
-        late.where("at is not null").select("key", "at", F.lit(None).cast("timestamp_ntz").alias("stop"), F.lit(1).alias("is_ref"), ref.alias("r"))
+        rest.select("key", "at", F.lit(None).cast("timestamp_ntz").alias("stop"), F.lit(1).alias("is_ref"), ref.alias("r"))
     )
     events = events.withColumn("bucket", F.date_format("at", "yyyyMM"))
-    covered = running_max(events, ["key"], "bucket", [F.col("at"), F.col("is_ref")], "stop", "until")
-    gone = covered.where("is_ref = 1 and not coalesce(until > at, false)").select("r.*").withColumn("kind", F.lit("deleted"))
+    covered = running_max(events, ["key"], "bucket", [F.col("at"), F.col("is_ref")], "stop", "until").where("is_ref = 1")
+    kind = F.when(~F.col("r.found"), "missing").when(F.col("at") < F.col("r.begins"), "late").when(~F.coalesce(F.col("until") > F.col("at"), F.lit(False)), "deleted")
+    checked = covered.select("r.*", kind.alias("kind")).where("kind is not null")
     out = [*refs.columns, "kind"]
-    return sure.select(*out).unionByName(absent).unionByName(early).unionByName(untimed).unionByName(gone.select(*out))
+    return sure.select(*out).unionByName(checked.select(*out))
 
 
 def orphan_report(found: DataFrame, src: str = "src", period: str = "period") -> DataFrame:

@@ -110,7 +110,7 @@ _PAIR = r"^([0-9]{1,9}) ?(?:[-/‐-―]|(?i:of)) ?([0-9]{1,9})(?: ?\([0-9]+(?:[.
 
 
 def cell_value(kind: Column, text: Column, number: Column) -> Column:
-    """struct(a, b) of the value read by its kind: the number, thousandths, seconds, or both numbers of a pair."""
+    """struct(a, b) of the value read by its kind: the number, thousandths, seconds, or both numbers of a pair; a is NULL if unreadable."""
     s = plain_text(text)
     num = F.when(~F.isnan(number) & (F.abs(number) < 1e15), number)
     integral = F.when(num == F.floor(num), num.try_cast("bigint"))
@@ -119,7 +119,7 @@ def cell_value(kind: Column, text: Column, number: Column) -> Column:
     from_text = F.when(kind == "pair", first).when(kind == "decimal", _thousandths(s)).when(kind == "duration", _seconds(s)).otherwise(_whole(s))
     from_number = F.when(kind == "decimal", F.round(num * 1000).try_cast("bigint")).when(kind != "pair", integral)
     a = F.when(text.isNotNull(), from_text).otherwise(from_number)
-    return F.when(a.isNotNull(), F.struct(a.alias("a"), F.when(kind == "pair", second).alias("b")))
+    return F.struct(a.alias("a"), F.when(kind == "pair", second).alias("b"))
 
 
 # ------------------------------------------------------------------ log-structured table
@@ -134,9 +134,9 @@ def resolve(rows: DataFrame, lay: Layout, labels: DataFrame) -> DataFrame:
     both = named.unionByName(by_label)
     kinds = F.create_map(*[F.lit(x) for kv in lay.kind_by_key().items() for x in kv]) if lay.kinds else None
     kind = F.coalesce(F.try_element_at(kinds, F.col("attribute_key")), F.lit("whole")) if lay.kinds else F.lit("whole")
-    return both.withColumn("cell", cell_value(kind, F.col("t"), F.col("x"))).where("cell is not null").select(
-        *lay.entity, "attribute_key", "version", "tie", "cell.a", "cell.b"
-    )
+    # the generator keeps the long reading expressions from being copied into every attribute's aggregate
+    read = F.filter(F.array(cell_value(kind, F.col("t"), F.col("x"))), lambda c: c["a"].isNotNull())
+    return both.select(*lay.entity, "attribute_key", "version", "tie", F.inline(read))
 
 
 def delta_of(resolved: DataFrame, lay: Layout, keys: list[str], batch: Column) -> DataFrame:

@@ -193,8 +193,8 @@ SQL = {
 stats as (select load_no, col, count(*) n, count(*) filter (v is null) nulls, count(*) filter (v is not null and x is null) bad,
   count(*) filter (x is not null and not (x between 1 and case col when 'down' then 4 else 99 end)) outside, count(distinct x) dx from read group by all),
 num as (select load_no, col, x, count(*) n from read where x is not null group by all),
-both as (select load_no, col, x, n own, 0 prior from num union all select load_no + 1, col, x, 0, n from num),
-m as (select load_no, col, x, sum(own) own, sum(prior) prior from both group by all),
+sides as (select load_no, col, x, n own, 0 prior from num union all select load_no + 1, col, x, 0, n from num),
+m as (select load_no, col, x, sum(own) own, sum(prior) prior from sides group by all),
 c as (select load_no, col, sum(own) over w a, sum(prior) over w b, sum(own) over p na, sum(prior) over p nb from m window w as (partition by load_no, col order by x), p as (partition by load_no, col)),
 shifted as (select load_no, col from c group by all having max(abs(a * nb - b * na) * 4 > na * nb and na * nb > 0))
 select load_no, col, 'nulls' issue from stats where nulls * 100 > n * 30
