@@ -20,8 +20,9 @@ TEAM_RUN = r"(?i)^team run for a loss of (?:1 yard|2 yards)"
 
 
 def latest_delivery(plays: DataFrame, key: str = "play_id", version: str = "load_no") -> DataFrame:
-    """One row per play: the delivery with the highest version (then the later load time)."""
-    w = Window.partitionBy(key).orderBy(F.desc(version), F.desc("loaded_at"), F.col("game_play_number"))
+    """One row per play: the delivery with the highest version, then the later load time; what still ties goes by content."""
+    content = [F.asc_nulls_last(c) for c in ("game_play_number", "stat_yardage", "down", "distance", "play_text", "epa")]
+    w = Window.partitionBy(key).orderBy(F.desc_nulls_last(version), F.desc_nulls_last("loaded_at"), *content)
     return plays.where(F.col(key).isNotNull()).withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
 
 
