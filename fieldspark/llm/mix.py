@@ -3,7 +3,8 @@
 Each source's documents are shuffled by a hash and cut into blocks of equal tokens. The mix is a
 schedule of slots: van der Corput points (bit-reversed slot numbers) are mapped through the
 cumulative shares, so every stretch of the schedule already holds the shares; the r-th slot of a
-source takes its block r, and after the last block begins the next round. Slots and documents meet
+source takes its block r, and after the last block begins the next round. A document belongs to the block
+in which its middle token lies, so that long documents bias no share. Slots and documents meet
 in one equi-join on (source, block). Positions in a source and ranks in the schedule are running
 totals over buckets, so a source that holds most rows is still spread over all tasks.
 
@@ -85,7 +86,7 @@ def mix(sized: DataFrame, mixes: DataFrame, block_tokens: int = BLOCK_TOKENS, to
     planned = cut(plan(mixes, per_source.select("source", "stock"), block, total_tokens))
     used = docs.join(planned.where("weight is not null").select("source").distinct(), "source", "left_semi")
     placed = running_sum(used.withColumn("bucket", F.shiftright("order", 64 - bits) if bits else F.lit(0)), ["source"], "bucket", [F.col("order"), F.col("doc_id")], "tokens", "upto")
-    blocks = placed.select("source", "doc_id", "tokens", F.floor((F.col("upto") - F.col("tokens")) / block).alias("block"))
+    blocks = placed.select("source", "doc_id", "tokens", F.floor((F.col("upto") - F.col("tokens") / 2) / block).alias("block"))
     draws = schedule(planned).join(blocks, ["source", "block"])
     return draws.select("mix_id", "slot", "source", "round", "doc_id", "tokens"), planned
 

@@ -6,10 +6,12 @@ tables of a whole batch of documents are squared (pointer doubling), which yield
 of every document in a logarithmic number of array operations. A document lives in one row, so the
 tables never leave the batch and nothing is shuffled.
 
-Boundary classes, best first: ends of lines and sentences; ends of words; ends of pre-tokens; any
-token. A worse class is only opened where the better ones lie farther apart than a piece can reach.
-In all but the last class the position ``overlap`` tokens earlier must start a pre-token as well, so a
-piece's text tokenizes to just its tokens and neighbours share exactly ``overlap`` of them.
+Boundary classes, best first: ends of lines and sentences ``overlap`` tokens after the start of a
+pre-token; other ends of lines and sentences; such ends of words; such ends of pre-tokens; any token.
+A worse class is only opened where the better ones lie farther apart than a piece can reach. From a
+boundary whose overlap starts a pre-token, the next piece's text tokenizes to just its tokens, and
+neighbours share exactly ``overlap`` of them. Where the overlap starts inside a pre-token, the rest
+of that pre-token may take more tokens on its own; the piece is kept short by as many.
 
 Defined results
 - NULL or empty text: one empty piece of 0 tokens. Text within the limit: one piece, the text itself.
@@ -41,8 +43,9 @@ def _gaps(have: np.ndarray, more: np.ndarray, reach: int) -> np.ndarray:
     return np.union1d(have, more[inside & wide])
 
 
-def boundaries(measures: np.ndarray, limit: int, overlap: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Token positions by class (each class holds the better ones too), and the pre-tokens' ends."""
+def boundaries(pre: list[str], measures: np.ndarray, c: Counter, limit: int, overlap: int) -> tuple[list[np.ndarray], np.ndarray, dict[int, int]]:
+    """Token positions by class (each class holds the better ones too), the pre-tokens' ends, and how
+    many tokens the piece after a boundary may take in addition, where that is not 0."""
     counts = measures & COUNT
     ends = np.cumsum(counts)
     total = int(ends[-1])
@@ -54,18 +57,27 @@ def boundaries(measures: np.ndarray, limit: int, overlap: int) -> tuple[list[np.
     is_start = np.zeros(total + 1, dtype=bool)
     is_start[starts] = True
     aligned = (at >= overlap) & is_start[np.maximum(at - overlap, 0)]
+    natural = solid & (line | (blank & stop)) & (at > overlap)
     reach = limit - overlap
-    best = np.unique(np.concatenate([[0], at[aligned & solid & (line | (blank & stop))], [total]]))
-    words = _gaps(best, at[aligned & solid & blank], reach)
+    best = np.unique(np.concatenate([[0], at[natural & aligned], [total]]))
+    loose = _gaps(best, at[natural & ~aligned], reach)
+    words = _gaps(loose, at[aligned & solid & blank], reach)
     pres = _gaps(words, at[aligned], reach)
     tokens = pres
     wide = np.flatnonzero(np.diff(pres) > reach)
     if len(wide):
         tokens = np.union1d(pres, np.concatenate([np.arange(pres[i], pres[i + 1]) for i in wide]))
-    return [best, words, pres, tokens], ends
+    extra = {}
+    for b in np.setdiff1d(loose, best).tolist():
+        i = int(np.searchsorted(ends, b - overlap, "right"))
+        into = b - overlap - int(starts[i])
+        more = c.rest_tokens(pre[i], into) - int(counts[i] - into)
+        if more > 0:
+            extra[b] = more
+    return [best, loose, words, pres, tokens], ends, extra
 
 
-def successors(classes: list[np.ndarray], starts: np.ndarray, limit: int, overlap: int) -> tuple[np.ndarray, np.ndarray]:
+def successors(classes: list[np.ndarray], starts: np.ndarray, limit: int, overlap: int, extra: dict[int, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """All boundaries and the index of each one's farthest legal successor (the last of a text: itself).
 
     ``starts``: the boundaries at which a text begins; a first piece has no overlap before it.
@@ -73,11 +85,15 @@ def successors(classes: list[np.ndarray], starts: np.ndarray, limit: int, overla
     every = classes[-1]
     reach = every - overlap + limit
     reach[np.searchsorted(every, starts)] += overlap
+    short = reach.copy()
+    if extra:
+        short[np.searchsorted(every, list(extra))] -= np.array(list(extra.values()))
     nxt = np.full(len(every), -1, dtype=np.int64)
-    for c in classes:
-        far = c[np.maximum(np.searchsorted(c, reach, "right") - 1, 0)]
-        take = (nxt < 0) & (far > every) & (far <= reach)
-        nxt[take] = np.searchsorted(every, far[take])
+    for far_as in (short, reach) if extra else (reach,):
+        for c in classes:
+            far = c[np.maximum(np.searchsorted(c, far_as, "right") - 1, 0)]
+            take = (nxt < 0) & (far > every) & (far <= far_as)
+            nxt[take] = np.searchsorted(every, far[take])
     last = nxt < 0
     nxt[last] = np.flatnonzero(last)
     return every, nxt
@@ -109,8 +125,8 @@ def _char_at(pos: int, pre: list[str], ends: np.ndarray, chars: np.ndarray, c: C
 
 def split_batch(ids: list, texts: list[str], c: Counter, limit: int, overlap: int, with_text: bool) -> list[tuple]:
     """Pieces of a batch of texts above the limit in bytes."""
-    docs, classes, base, bases = [], [[], [], [], []], 0, []
-    rows = []
+    docs, classes, base, bases = [], [[], [], [], [], []], 0, []
+    rows, more = [], {}
     for ident, text in zip(ids, texts, strict=True):
         pre = c.pre_tokens(text)
         measures = c.measures(pre)
@@ -118,7 +134,8 @@ def split_batch(ids: list, texts: list[str], c: Counter, limit: int, overlap: in
         if total <= limit:
             rows.append((ident, 0, 1, 0, total, total, 0, len(text), text if with_text else None))
             continue
-        levels, ends = boundaries(measures, limit, overlap)
+        levels, ends, extra = boundaries(pre, measures, c, limit, overlap)
+        more.update((b + base, n) for b, n in extra.items())
         for k, positions in zip(classes, levels, strict=True):
             k.append(positions + base)
         docs.append((ident, text, pre, ends, base, total))
@@ -126,7 +143,7 @@ def split_batch(ids: list, texts: list[str], c: Counter, limit: int, overlap: in
         base += total + limit + overlap + 1  # no successor reaches into the next text
     if not docs:
         return rows
-    every, nxt = successors([np.concatenate(k) for k in classes], np.array(bases), limit, overlap)
+    every, nxt = successors([np.concatenate(k) for k in classes], np.array(bases), limit, overlap, more)
     cuts = every[all_cuts(nxt, np.searchsorted(every, bases))]
     for ident, text, pre, ends, base, total in docs:
         own = cuts[np.searchsorted(cuts, base) : np.searchsorted(cuts, base + total, "right")] - base

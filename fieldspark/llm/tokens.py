@@ -5,13 +5,13 @@ own, so a text's tokens are the sum over its pre-tokens. Pre-tokens repeat, so t
 in a bounded table per worker. The vocabulary file is a parameter and stays where it is installed.
 """
 
-from __future__ import annotations
-
 import base64
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 
 #: Entries of the per-worker table of pre-token counts; it is emptied when full (counts stay exact).
 CACHE_ENTRIES = 400_000
@@ -77,6 +77,11 @@ class Counter:
     def tokens(self, text: str | None) -> int:
         return int((self.measures(self.pre_tokens(text)) & COUNT).sum()) if text else 0
 
+    def rest_tokens(self, pre: str, skip: int) -> int:
+        """Tokens of what follows the first ``skip`` tokens of a pre-token, as a text of its own."""
+        done = int(self.token_bytes(pre)[:skip].sum())
+        return len(self.encoding.encode_ordinary(pre[len(pre.encode("utf-8")[:done].decode("utf-8", "ignore")) :]))
+
     def token_bytes(self, pre: str) -> np.ndarray:
         """Byte length of each token of one pre-token."""
         return np.array([len(b) for b in self.encoding.decode_tokens_bytes(self.encoding.encode_ordinary(pre))])
@@ -90,16 +95,13 @@ def counter(path: str) -> Counter:
 
 def count_column(text, path: str | None = None):
     """Number of tokens of a text column; NULL and empty text have 0."""
-    import pandas as pd
     from pyspark.sql import functions as F
-    from pyspark.sql import types as T
 
     where = path or default_path()
 
-    def run(it):
+    def run(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
         c = counter(where)
         for s in it:
             yield pd.Series([c.tokens(t) for t in s], dtype="int64")
 
-    run.__annotations__ = {}
-    return F.pandas_udf(run, T.LongType(), F.PandasUDFType.SCALAR_ITER)(text)
+    return F.pandas_udf(run, "bigint")(text)
