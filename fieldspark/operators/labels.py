@@ -46,3 +46,29 @@ def last_n_mean(rows: DataFrame, key: str, order: list[Column], value: str, n: i
         return m
     low = m.agg(F.percentile("mean", F.lit(floor))).first()[0]
     return m.withColumn("mean", F.greatest("mean", F.lit(low))) if low is not None else m
+
+
+# The classes of the next score, for and against the team with the ball.
+SCORES = {"Touchdown": "Touchdown", "Field Goal Good": "Field_Goal", "Safety": "Safety"}
+CLASSES = {"Touchdown": 0, "Opp_Touchdown": 1, "Field_Goal": 2, "Opp_Field_Goal": 3, "Safety": 4, "Opp_Safety": 5, "No_Score": 6}
+
+
+def next_score_labels(plays: DataFrame, order: list[str], team: str, kind: str, scoring: Column, scorer: Column) -> DataFrame:
+    """Class of the next score of the half, seen from the team with the ball; half: 1 for periods 1 and 2, else 2.
+
+    scoring: whether the play scores; scorer: the team that does. A scorer that is NULL counts as the other team.
+    """
+    half = F.when(F.col("period").isin(1, 2), 1).otherwise(2)
+    p = plays.withColumn("half", half).withColumn("__s", F.when(scoring, F.struct(F.col(kind).alias("kind"), scorer.alias("by"))))
+    p = p.withColumn("__n", back_fill("__s", ["game_id", "half"], order))
+    label = F.lit("No_Score")
+    for text, name in reversed(SCORES.items()):
+        ours = F.coalesce(F.col(team) == F.col("__n.by"), F.lit(False))
+        label = F.when(F.contains(F.col("__n.kind"), F.lit(text)), F.when(ours, name).otherwise(f"Opp_{name}")).otherwise(label)
+    codes = F.create_map(*[F.lit(x) for kv in CLASSES.items() for x in kv])
+    return p.withColumn("next_score", label).withColumn("label", F.element_at(codes, F.col("next_score"))).drop("__s", "__n")
+
+
+def half_winner(games: DataFrame) -> DataFrame:
+    """home_won is strict: a tie is no home win."""
+    return games.withColumn("home_won", F.when(F.col("home_score").isNotNull() & F.col("away_score").isNotNull(), F.col("home_score") > F.col("away_score")))

@@ -13,10 +13,10 @@ MAX_SPREAD = 60.0
 
 
 def name_key(c: Column, aliases: dict[str, str] | None = None) -> Column:
-    """Team-name key: dots out, ' st ' spelled out before other punctuation goes, then aliases."""
-    s = F.lower(F.trim(F.regexp_replace(c, r"\.", "")))
-    s = F.regexp_replace(F.concat(F.lit(" "), s, F.lit(" ")), r" st ", " state ")
-    s = F.trim(F.regexp_replace(F.regexp_replace(s, r"[^a-z0-9& ]+", " "), r" +", " "))
+    """Team-name key: '&' spelled out, dots out, ' st ' and a final ' st' spelled out, then other punctuation, then aliases."""
+    s = F.regexp_replace(F.replace(F.lower(F.trim(c)), F.lit("&"), F.lit(" and ")), r"\.", "")
+    s = F.regexp_replace(F.replace(s, F.lit(" st "), F.lit(" state ")), r" st$", " state")
+    s = F.trim(F.regexp_replace(F.regexp_replace(s, r"[^a-z0-9 ]+", " "), r"\s+", " "))
     if not aliases:
         return s
     table = F.create_map(*[F.lit(x) for kv in sorted(aliases.items()) for x in kv])
@@ -36,9 +36,18 @@ def consensus(lines: DataFrame, keys: list[str], line: str, low: float | None =
 
 
 def missing_spread(spread: Column, total: Column, available: Column) -> Column:
-    """No real line: NULL, not available, or the default pair. NULL parts never make the test NULL."""
-    default = F.coalesce((F.abs(spread) == DEFAULT_SPREAD) & (total == DEFAULT_TOTAL), F.lit(False))
-    return spread.isNull() | ~F.coalesce(available, F.lit(False)) | default
+    """No real line: NULL, marked unavailable, or the default pair without a mark that it is available.
+
+    NULL parts never make the test NULL.
+    """
+    marked = F.coalesce(~available, F.lit(False))
+    default = F.coalesce((spread == DEFAULT_SPREAD) & (total == DEFAULT_TOTAL), F.lit(False)) & ~F.coalesce(available, F.lit(False))
+    return spread.isNull() | marked | default
+
+
+def spread_time(spread: Column, is_home: Column, elapsed_share: Column, decay: float = -4.0) -> Column:
+    """Possession team's spread, fading with the share of the game played."""
+    return F.when(is_home, spread).otherwise(-spread) * F.exp(F.lit(decay) * elapsed_share)
 
 
 def backfill(games: DataFrame, lines: DataFrame, key: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldspark.functions import exprs as X
-from fieldspark.operators import gates, labels, leaderboards, metrics, models, odds, plays, reshape, summaries, weekly
+from fieldspark.operators import boxscore, gates, labels, leaderboards, metrics, models, odds, plays, records, reshape, summaries, weekly
 from fieldspark.plans.problems import latest_games
 from fieldspark.session import table
 
@@ -219,7 +219,7 @@ join agg h on h.season = g.season and h.team_id = g.home_id and h.side = 'def' a
 
 
 # ---------------------------------------------------------------- names, odds, crosswalks
-@query(r"""select team_row_id, trim(regexp_replace(regexp_replace(replace(' ' || lower(trim(replace(school, '.', ''))) || ' ', ' st ', ' state '), '[^a-z0-9& ]+', ' ', 'g'), ' +', ' ', 'g')) school_key from teams""")
+@query(r"""select team_row_id, trim(regexp_replace(regexp_replace(regexp_replace(replace(regexp_replace(replace(lower(trim(school)), '&', ' and '), '[.]', '', 'g'), ' st ', ' state '), ' st$', ' state'), '[^a-z0-9 ]+', ' ', 'g'), '\s+', ' ', 'g')) school_key from teams""")
 def name_normalize(spark, d):
     return table(spark, d, "teams").select("team_row_id", odds.name_key(F.col("school")).alias("school_key"))
 
@@ -251,7 +251,7 @@ def devig_pivot(spark, d):
 @query("with " + _GAMES + """, b as (select game_id, cast(home_score - away_score as double) spread, case when attendance > 20000 then 55.5 end total, neutral_site available from games),
 c as (select season * 100 + week k, median(cast(home_score - away_score as double)) s from games where home_score is not null and away_score is not null group by 1)
 select b.game_id, case when gap and c.s is not null then c.s else b.spread end spread, case when gap and c.s is not null then 55.5 else b.total end total, gap and c.s is not null filled
-from (select *, spread is null or not coalesce(available, false) or coalesce(abs(spread) = 2.5 and total = 55.5, false) gap from b) b join games g using (game_id) left join c on c.k = g.season * 100 + g.week""")
+from (select *, spread is null or coalesce(not available, false) or (coalesce(spread = 2.5 and total = 55.5, false) and not coalesce(available, false)) gap from b) b join games g using (game_id) left join c on c.k = g.season * 100 + g.week""")
 def spread_backfill(spark, d):
     g = game_margins(spark, d)
     k = F.col("season") * 100 + F.col("week")
@@ -567,6 +567,76 @@ def cell_shares(spark, d):
     return c.select("x", "y", "n", rnd(F.col("n") / F.sum("n").over(Window.partitionBy("x")), 6).alias("share"))
 
 
+# ---------------------------------------------------------------- box scores, logs, labels
+_BOX = """, box as (select game_id, pos_team_id team_id, count(*) filter (sc) plays, count(distinct drive_id) drives, avg(case when sc then cast(coalesce(case start_down when 1 then stat_yardage >= 0.5 * start_distance when 2 then stat_yardage >= 0.7 * start_distance
+  else case when start_down >= 4 then stat_yardage >= start_distance end end, false) as double) end) success_rate, avg(case when sc then cast(coalesce(stat_yardage >= 15, false) as double) end) explosive_rate, avg(case when sc then epa end) epa_play,
+  count(distinct case when yards_to_goal <= 40 then drive_id end) chances, count(*) filter (regexp_matches(lower(play_type), 'interception')) picks, count(*) filter (regexp_matches(lower(play_type), 'fumble recovery [(]opponent[)]')) fumbles,
+  count(*) filter (regexp_matches(lower(play_type), 'sack')) sacks, count(*) filter (regexp_matches(lower(play_type), 'incompletion') and regexp_matches(play_text, '(?i)broken up')) broken_up, count(*) n
+  from (select *, coalesce(pass, false) or coalesce(rush, false) sc from plays) where game_id is not null and pos_team_id is not null group by 1, 2)"""
+
+
+@query("with " + _PLAYS + _BOX + " select game_id, team_id, plays, drives, round(success_rate, 6) success_rate, round(explosive_rate, 6) explosive_rate, round(epa_play, 6) epa_play, chances, picks + fumbles turnovers, round(0.22 * (broken_up + picks) + 0.49 * fumbles, 6) expected_turnovers, round((picks + fumbles + sacks) / n::double, 6) havoc_rate from box")
+def game_boxes(spark, d):
+    b = boxscore.game_boxes(all_plays(spark, d))
+    return b.select("game_id", "team_id", "plays", "drives", *[r6(c) for c in ("success_rate", "explosive_rate", "epa_play")], "chances", "turnovers", r6("expected_turnovers"), r6("havoc_rate"))
+
+
+@query("with " + _PLAYS + _BOX + """, o as (select *, picks + fumbles t, 0.22 * (broken_up + picks) + 0.49 * fumbles et, chances / nullif(drives, 0)::double cr, sacks / n::double sr, (picks + fumbles + sacks) / n::double hr, count(*) over (partition by game_id) = 2 two from box),
+df as (select *, case when two then success_rate * 2 - sum(success_rate) over w end a, case when two then epa_play * 2 - sum(epa_play) over w end b, case when two then cr * 2 - sum(cr) over w end c, case when two then sr * 2 - sum(sr) over w end s, case when two then hr * 2 - sum(hr) over w end h, case when two then t * 2 - sum(t) over w end dt from o window w as (partition by game_id))
+select game_id, team_id, case when a is null or b is null or c is null then null else round(0.35 * (greatest(least(a, 1), -1) + 1) * 5 + 0.30 * (greatest(least(b, 2), -2) + 2) * 2.5 + 0.15 * (greatest(least(c, 1), -1) + 1) * 5 + 0.10 * (greatest(least(0.37 * a - 0.21 * dt / greatest(1, plays), 10), -10) + 10) / 2
+  + 0.10 * ((greatest(least(et - t, 5), -5) + 5) * 0.3 + (greatest(least(s, 1), -1) + 1) * 1.5 + (greatest(least(h, 1), -1) + 1) * 2), 6) end rating from df""")
+def five_factors(spark, d):
+    return boxscore.five_factors(boxscore.game_boxes(all_plays(spark, d))).select("game_id", "team_id", r6("rating"))
+
+
+@query("with " + _GAMES + " select game_id, home_id team_id, away_id opponent_id, true is_home, home_score - away_score margin, case when home_score > away_score then true when home_score < away_score then false end win from games where home_id is not null union all select game_id, away_id, home_id, false, away_score - home_score, case when away_score > home_score then true when away_score < home_score then false end from games where away_id is not null")
+def game_log(spark, d):
+    return records.game_log(latest_games(spark, d)).select("game_id", "team_id", "opponent_id", "is_home", "margin", "win")
+
+
+@query("select season, week, cast(max(kickoff) as date) cutoff from schedules where season_type = 2 and week is not null and kickoff is not null group by 1, 2")
+def week_cutoffs(spark, d):
+    return records.week_cutoffs(table(spark, d, "schedules"))
+
+
+_STRENGTH = "lg as (select game_id, season, neutral_site, home_id team_id, away_id opp, true hm, home_score - away_score margin from games where home_id is not null union all select game_id, season, neutral_site, away_id, home_id, false, away_score - home_score from games where away_id is not null), st as (select season, team_id, avg(margin) strength from lg where margin is not null group by 1, 2)"
+
+
+@query("with " + _GAMES + "," + _STRENGTH + """, j as (select l.*, b.strength theirs, 1 / (1 + exp(-((coalesce(a.strength, 0) - coalesce(b.strength, 0) + case when coalesce(neutral_site, false) then 0.0 when hm then 2.5 else -2.5 end) / (16.0 * 0.5513)))) ew from lg l left join st a on a.season = l.season and a.team_id = l.team_id
+left join st b on b.season = l.season and b.team_id = l.opp where margin is not null), g as (select season, team_id, count(*) games, sum(cast(margin > 0 as double)) wins, sum(ew) exp_wins, avg(theirs) sos from j group by 1, 2)
+select season, team_id, games, wins, round(exp_wins, 6) exp_wins, round(wins - exp_wins, 6) luck_wins, round(sos, 6) sos_points, round((ln(greatest(least(wins / games, 0.99), 0.01)) - ln(1 - greatest(least(wins / games, 0.99), 0.01))) * 16.0 * 0.5513 + sos, 6) sor_points from g""")
+def season_resume(spark, d):
+    log = records.game_log(latest_games(spark, d))
+    strength = log.where("margin is not null").groupBy("season", "team_id").agg(F.avg("margin").alias("strength"))
+    return records.season_resume(log, strength, 16.0, 2.5).select("season", "team_id", "games", "wins", r6("exp_wins"), r6("luck_wins"), r6("sos_points"), r6("sor_points"))
+
+
+@query("with " + _PLAYS + _RUSHERS + """, g as (select player, season, count(*) n_plays, count(*) filter (opportunity_run) n_opps, round(avg(epa), 9) u, round(avg(greatest(epa, -4.5)), 9) epa, avg(success) success, sum(highlight_yards) h from who where player is not null group by 1, 2 having count(*) > 3)
+select player, season, n_plays, n_opps, round(u, 6) unadjusted_epa, round(epa, 6) epa, round(success, 6) success, round(coalesce(h / nullif(n_opps, 0), 0.0), 6) highlight_yards, round(lag(epa) over w, 6) l_epa, lag(n_plays) over w l_n_plays, round(sqrt(n_plays * n_plays + (lag(n_plays) over w) * (lag(n_plays) over w)), 6) weight from g window w as (partition by player order by season)""")
+def rusher_seasons(spark, d):
+    s = records.rusher_seasons(_rushers(spark, d), "player", 3).withColumn("epa", F.round("epa", 9)).withColumn("unadjusted_epa", F.round("unadjusted_epa", 9))
+    out = records.with_season_lag(s, "player", ["epa", "n_plays"])
+    return out.select("player", "season", "n_plays", "n_opps", r6("unadjusted_epa"), r6("epa"), r6("success"), r6("highlight_yards"), r6("l_epa"), "l_n_plays", r6("weight"))
+
+
+@query("""select row_id, coalesce(loaded_at > min(loaded_at) over (partition by team_id, season order by through_week, row_id rows between 1 following and unbounded following), false) out_of_sequence,
+coalesce((year(loaded_at) = season and month(loaded_at) >= 8) or (year(loaded_at) = season + 1 and month(loaded_at) <= 2), false) contemporaneous from cfb_higher_models""")
+def snapshot_flags(spark, d):
+    return records.snapshot_flags(table(spark, d, "cfb_higher_models"), ["team_id", "season"], ["through_week", "row_id"], "loaded_at", "season").select("row_id", "out_of_sequence", "contemporaneous")
+
+
+@query("with " + _PLAYS + """, h as (select *, case when period in (1, 2) then 1 else 2 end half, case when regexp_matches(play_type, 'Touchdown|Field Goal Good|Safety') then struct_pack(k := play_type, by := case when regexp_matches(play_type, 'Return|Safety') then def_pos_team_id else pos_team_id end) end s from plays),
+n as (select play_id, pos_team_id, first_value(s ignore nulls) over (partition by game_id, half order by game_play_number nulls first, play_id rows between current row and unbounded following) x from h),
+l as (select play_id, case when contains(x.k, 'Touchdown') then case when coalesce(pos_team_id = x.by, false) then 'Touchdown' else 'Opp_Touchdown' end when contains(x.k, 'Field Goal Good') then case when coalesce(pos_team_id = x.by, false) then 'Field_Goal' else 'Opp_Field_Goal' end
+  when contains(x.k, 'Safety') then case when coalesce(pos_team_id = x.by, false) then 'Safety' else 'Opp_Safety' end else 'No_Score' end next_score from n)
+select play_id, next_score, cast(list_position(['Touchdown', 'Opp_Touchdown', 'Field_Goal', 'Opp_Field_Goal', 'Safety', 'Opp_Safety', 'No_Score'], next_score) - 1 as int) "label" from l""")
+def next_score_classes(spark, d):
+    t = F.col("play_type")
+    scorer = F.when(t.rlike("Return|Safety"), F.col("def_pos_team_id")).otherwise(F.col("pos_team_id"))
+    p = labels.next_score_labels(all_plays(spark, d), ["game_play_number", "play_id"], "pos_team_id", "play_type", F.coalesce(t.rlike("Touchdown|Field Goal Good|Safety"), F.lit(False)), scorer)
+    return p.select("play_id", "next_score", "label")
+
+
 # ---------------------------------------------------------------- without SQL: iterative or numeric
 @query()
 def opponent_adjusted(spark, d):
