@@ -31,9 +31,13 @@ _NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def records(rows: DataFrame) -> DataFrame:
-    """feed, file, row, doc (VARIANT) of every record in a file."""
+    """feed, file, row, doc (VARIANT) of every record in a file.
+
+    The parser stops after a first document, so the body is read inside brackets: one object, nothing behind it.
+    """
+    one = """transform(array(try_parse_json(concat('[', body, ']'))), z -> case when body rlike '(?s)^\\\\s*[{].*[}]\\\\s*$' and cardinality(try_variant_get(z, '$', 'array<variant>')) = 1 then try_variant_get(z, '$[0]', 'variant') end)[0]"""
     return rows.where("feed_id is not null and file_no is not null").select(
-        F.col("feed_id").alias("feed"), F.col("file_no").alias("file"), F.col("record_row_id").alias("row"), "dataset", F.try_parse_json("body").alias("doc")
+        F.col("feed_id").alias("feed"), F.col("file_no").alias("file"), F.col("record_row_id").alias("row"), "dataset", F.expr(one).alias("doc")
     )
 
 

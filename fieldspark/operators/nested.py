@@ -120,12 +120,19 @@ KEYS = {
     "betting": "cast(game_id as string) as parent_key, r.odds_source as child_key",
 }
 
+#: The JSON parser stops after a first document. Read inside brackets and inside braces, a body parses
+#: in both only if it is one document and nothing else.
+_WHOLE = _let(
+    "try_parse_json(concat('[', b, ']'))", "z",
+    """case when cardinality(try_variant_get(z, '$', 'array<variant>')) = 1 and try_parse_json(concat('{"d":', b, '}')) is not null then try_variant_get(z, '$[0]', 'variant') end""",
+)
+
 #: The text of the one object in a body, whatever it is wrapped in (three layers at most).
-UNWRAPPED = "aggregate(sequence(1, 3), body, (b, n) -> " + _let(
-    "try_parse_json(b)", "z",
-    "case when schema_of_variant(z) = 'STRING' then try_variant_get(z, '$', 'string') "
-    "when cardinality(try_variant_get(z, '$', 'array<variant>')) = 1 then to_json(try_variant_get(z, '$[0]', 'variant')) else b end",
-) + ")"
+UNWRAPPED = "aggregate(sequence(1, 3), ltrim('\\ufeff', body), (b, n) -> case when b rlike '^\\\\s*[{]' then b else " + _let(
+    _WHOLE, "y",
+    "case when schema_of_variant(y) = 'STRING' then try_variant_get(y, '$', 'string') "
+    "when cardinality(try_variant_get(y, '$', 'array<variant>')) = 1 then to_json(try_variant_get(y, '$[0]', 'variant')) end",
+) + " end)"
 
 
 # ---------------------------------------------------------------- documents
@@ -136,7 +143,7 @@ def readable_documents(docs: DataFrame, key: str = "game_id", loaded: str = "loa
     """
     d = docs.select(F.col(key).alias("game_id"), F.col(loaded).alias("loaded"), F.col(row).alias("row"), F.col(body).alias("body")).where("body is not null")
     as_id = f"try_cast({_id(_get('z', 'id', 'string'))} as bigint)"
-    parsed = _let(f"try_parse_json({UNWRAPPED})", "z", f"case when try_variant_get(z, '$', 'map<string,variant>') is not null then struct(coalesce(game_id, {as_id}) as game_id, z as doc) end")
+    parsed = _let(_let(UNWRAPPED, "b", _WHOLE), "z", f"case when try_variant_get(z, '$', 'map<string,variant>') is not null then struct(coalesce(game_id, {as_id}) as game_id, z as doc) end")
     d = d.select("loaded", "row", F.expr(parsed).alias("p"))
     last = d.select("loaded", "row", "p.game_id").where("game_id is not null").groupBy("game_id").agg(F.max(F.struct("loaded", "row")).alias("m"))
     return d.where("p is not null").select("row", "p.*").join(last.select("game_id", F.col("m.row").alias("row")), ["game_id", "row"], "left_semi").select("game_id", "doc")

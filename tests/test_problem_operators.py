@@ -195,9 +195,9 @@ def docs(spark, bodies):
     return spark.createDataFrame([(i, g, T0 + dt.timedelta(hours=h), b, "clash") for i, (g, h, b) in enumerate(bodies)], "doc_row_id bigint, game_id bigint, loaded_at timestamp_ntz, body string, doc string")
 
 
-@pytest.mark.parametrize("wrap", [json.dumps, lambda d: json.dumps([d]), lambda d: json.dumps(json.dumps(d)), lambda d: " \n" + json.dumps([json.dumps(d)], indent=1)])
+@pytest.mark.parametrize("wrap", [json.dumps, lambda d: json.dumps([d]), lambda d: json.dumps(json.dumps(d)), lambda d: " \n" + json.dumps([json.dumps(d)], indent=1) + "\n", lambda d: "\ufeff" + json.dumps(d)])
 def test_nested_shapes_and_wrappings(spark, wrap):
-    df = docs(spark, [(7, 0, '{"betting": {"odds_source": "old"}}'), (7, 1, wrap(DOC)), (7, 2, wrap(DOC)[:-9]), (7, 3, ""), (7, 4, None), (7, 5, "<html>"), (7, 6, "[]"), (7, 7, '"x"'), (7, 8, "3")])
+    df = docs(spark, [(7, 0, '{"betting": {"odds_source": "old"}}'), (7, 1, wrap(DOC)), (7, 2, wrap(DOC)[:-9]), (7, 3, ""), (7, 4, None), (7, 5, "<html>"), (7, 6, "[]"), (7, 7, '"x"'), (7, 8, "3"), *[(7, 9 + i, b) for i, b in enumerate(['{"betting": []} x', "{}{}", "{}]", "{}}", "{},", "[{},{}]", "[{}][", '"{}" 1', "{}],[{}", "{}},{}"])]])
     rows = nested.found_rows(nested.readable_documents(df)).collect()
     assert {tuple(r)[1:] for r in rows} == FOUND and len(rows) == len(FOUND)
 
