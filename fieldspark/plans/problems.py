@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldspark.functions.exprs import whole_number
 from fieldspark.operators import drift, known_at, nested, profile, references, wide_table
+from fieldspark.plans import problem_sql
 from fieldspark.session import table
 
 DOWN_RANGES = {"down": (1, 4), "distance": (1, 99)}
@@ -211,4 +212,6 @@ select a.load_no, a.col, a.n_rows, a.n_nulls, a.distinct_values, a.violations, a
 from st a left join st b on b.load_no = a.load_no - 1 and b.col = a.col""",
     "p5_found": "with " + _KNOWN + "select game_id, team_id, row_id from got",
     "p5_features": "with " + _KNOWN + "select g.game_id, g.team_id, g.season, g.row_id, n.through_week, n.epaplay_off, n.epaplay_def, n.talent_composite, n.blue_chip_ratio, n.off_returning, n.overall_returning from got g join cfb_higher_models n using (row_id)",
+    "p6_found": problem_sql.NESTED,
+    "p7_found": problem_sql.DRIFT,
 }
