@@ -62,7 +62,14 @@ QUERIES = {
     "p10_found": p10_found, "p10_pieces": p10_pieces,
 }
 
+#: Words of a text for SQL: enough for the spellings that occur in the tables (the operator knows more).
+_WORDS = r"""regexp_extract_all(lower(translate(nfc_normalize(regexp_replace(regexp_replace(regexp_replace(text, '&[a-z]+;', ' ', 'g'), '</?[A-Za-z][^<>]*>', ' ', 'g'), '[\x{00AD}\x{200B}-\x{200D}\x{2060}\x{FEFF}]', '', 'g')), '０１２３４５６７８９', '0123456789')), '[\p{L}\p{N}\p{M}]+')"""
+
 SQL = {
+    "p8_found": f"""
+with d as (select doc_id, {_WORDS} w from documents where text is not null), i as (select item_id, {_WORDS} w from eval_items where text is not null),
+dg as (select doc_id, array_to_string(w[p:p + 11], ' ') g from (select doc_id, w, unnest(range(1, len(w) - 10)) p from d)), ig as (select distinct item_id, array_to_string(w[p:p + 11], ' ') g from (select item_id, w, unnest(range(1, len(w) - 10)) p from i))
+select distinct doc_id, item_id from dg join ig using (g)""",
     "p2_found": """
 with one as (select run_id, min(rating_id) rating_id, arg_min(struct_pack(a := adj_net, r := net_rank), rating_id) filter (adj_net is not null and not isnan(adj_net)) b
   from cfb_ratings_2025 where run_id is not null group by run_id, draw_no, case when draw_no is null then rating_id end)

@@ -36,8 +36,9 @@ def test_top_n_against_plain_python(spark, heavy):
     assert topn.top_n(topn.one_per_copy(df.limit(0), "run_id", "draw_no", "rating_id", "adj_net", "net_rank"), 5).count() == 0
 
 
-def test_top_n_same_as_sql(spark, data):
-    oracle.assert_same(queries.p2_found(spark, data), oracle.connect(data), queries.SQL["p2_found"])
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_same_as_sql(spark, data, name):
+    oracle.assert_same(queries.QUERIES[name](spark, data), oracle.connect(data), queries.SQL[name])
 
 
 # ---------------------------------------------------------------- 8
