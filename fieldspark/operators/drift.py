@@ -190,21 +190,50 @@ def alias_table(rows: DataFrame) -> DataFrame:
     )
 
 
+def _column_names(aliases: list) -> dict[str, str]:
+    """Root name -> column. Roots that differ in letter case only (in other feeds or files) are one column,
+    under the most used spelling; where both occur in one file they stay apart, the rarer one numbered."""
+    spans: dict[str, list] = {}
+    for a in aliases:
+        spans.setdefault(a["column"], []).append((a["feed"], a["from_file"], a["to_file"], a["n_values"]))
+    meet = lambda x, y: any(f == g and a <= d and c <= b for f, a, b, _ in x for g, c, d, _ in y)
+    groups: dict[str, list[str]] = {}
+    for root in spans:
+        groups.setdefault(root.lower(), []).append(root)
+    out: dict[str, str] = {}
+    taken = set(groups)
+    for roots in groups.values():
+        columns: list[list[str]] = []
+        for root in sorted(roots, key=lambda r: (-sum(n for *_, n in spans[r]), r)):
+            home = next((c for c in columns if not any(meet(spans[root], spans[o]) for o in c)), None)
+            if home is None:
+                columns.append([root])
+            else:
+                home.append(root)
+        for k, c in enumerate(columns):
+            name, number = c[0], k + 1
+            while k and name.lower() in taken:
+                name, number = f"{c[0]}_{number}", number + 1
+            taken.add(name.lower())
+            out.update(dict.fromkeys(c, name))
+    return out
+
+
 def unified_table(rows: DataFrame, dataset: str) -> DataFrame:
     """All records of a dataset with one set of typed columns, whatever their files called the fields.
 
     A column is BIGINT, DOUBLE or BOOLEAN if all its values read so once single wrappings are taken
-    off, else STRING. The casts are generated from the alias table; the records are only projected.
+    off, else STRING. Column names differ in more than letter case. The casts are generated from the alias table; the records are only projected.
     """
     al = alias_table(rows).where(F.col("dataset") == dataset).limit(MAX_ALIASES + 1).collect()
     if len(al) > MAX_ALIASES:
         raise ValueError(f"more than {MAX_ALIASES} aliases")
+    names = _column_names(al)
     by_column: dict[str, list] = {}
-    for a in al:
-        by_column.setdefault(a["column"], []).append(a)
     meanings: dict[str, set] = {}
     for a in al:
-        meanings.setdefault(a["field"], set()).add(a["column"])
+        by_column.setdefault(names[a["column"]], []).append(a)
+        meanings.setdefault(a["field"], set()).add(names[a["column"]])
     out = []
     for name, group in sorted(by_column.items()):
         terms, seen = [], set()

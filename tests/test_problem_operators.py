@@ -244,5 +244,9 @@ def test_drift_unified_table(spark):
     u = drift.unified_table(raw(spark, files), "d")
     assert dict(u.dtypes)["a"] == "bigint" and "b" not in u.columns
     assert sorted((r.id, r.a, r.t) for r in u.collect()) == sorted([(i, i, t) for i in range(4) for t in "xy"] + [(9, 5, None)])
+    case = {(1, 1): [{"id": 1, "EPA": 1.5, "k": 1, "K": "x"}], (2, 1): [{"id": 2, "epa": 2, "k": 5}]}
+    c = drift.unified_table(raw(spark, case), "d")
+    assert sorted(n.lower() for n in c.columns) == sorted(["feed_id", "file_no", "record_row_id", "id", "epa", "k", "k_2"])
+    assert sorted((r.id, r.EPA, r.k, r.K_2) for r in c.collect()) == [(1, 1.5, 1, "x"), (2, 2.0, 5, None)]
     assert drift.changes(raw(spark, {})).count() == 0
     assert drift.unified_table(raw(spark, {}), "d").count() == 0
