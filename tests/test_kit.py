@@ -104,8 +104,11 @@ def test_odds(spark):
     assert [r[0] for r in df.select(odds.name_key(F.col("n"), {"ohio state": "osu"})).collect()] == ["st mary state", "osu", "a and m tx", None]
     votes = spark.createDataFrame([("x", "b"), ("x", "a"), ("x", "a"), ("x", "b"), ("x", None)], "k string, v string")
     assert [tuple(r) for r in odds.modal(votes, ["k"], "v").collect()] == [("x", "a", 2)]
-    q = one(spark, odds.missing_spread(F.lit(None).cast("double"), F.lit(1.0), F.lit(True)), odds.missing_spread(F.lit(-2.5), F.lit(55.5), F.lit(True)), odds.missing_spread(F.lit(3.0), F.lit(None).cast("double"), F.lit(True)), odds.missing_spread(F.lit(3.0), F.lit(1.0), F.lit(None).cast("boolean")))
-    assert tuple(q) == (True, True, False, True)
+    dbl, flag = (lambda v: F.lit(v).cast("double")), (lambda v: F.lit(v).cast("boolean"))
+    # no spread; marked unavailable; the default pair without a mark; a real line that equals the default; an unmarked line
+    cases = [(None, 1.0, True), (3.0, 1.0, False), (2.5, 55.5, None), (2.5, 55.5, True), (3.0, 1.0, None), (3.0, None, True)]
+    q = one(spark, *[odds.missing_spread(dbl(s), dbl(t), flag(a)) for s, t, a in cases])
+    assert tuple(q) == (True, True, True, False, False, False)
 
 
 def test_weeks(spark):
