@@ -640,7 +640,7 @@ def next_score_classes(spark, d):
 # ---------------------------------------------------------------- without SQL: iterative or numeric
 @query()
 def opponent_adjusted(spark, d):
-    return spark.createDataFrame(models.opponent_adjusted(plays.scrimmage(all_plays(spark, d)), "pos_team_id", "def_pos_team_id", "epa"), "team_id bigint, adj_off double, adj_def double")
+    return models.opponent_adjusted_seasons(plays.scrimmage(all_plays(spark, d)), latest_games(spark, d))
 
 
 @query()
