@@ -34,6 +34,22 @@ def value_counts(df: DataFrame, load: str, columns: list[str]) -> DataFrame:
     return df.select(F.col(load).alias("load"), F.inline(each)).groupBy("load", "col", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _limbs(x: Column) -> tuple[list[Column], list[Column]]:
+    """A whole number in base 10^9 (least part first, with its sign), and its square's coefficients: no part exceeds a BIGINT."""
+    digits = F.lpad(F.abs(x).cast("string"), 45, "0")
+    parts = [digits.substr(1 + 9 * (4 - i), 9).cast("bigint") for i in range(5)]
+    squares = [sum((parts[i] * parts[k - i] for i in range(5) if 0 <= k - i < 5), F.lit(0)) for k in range(9)]
+    return [F.when(x < 0, -p).otherwise(p) for p in parts], squares
+
+
+def _moments(s0, limbs, squares):
+    """Sums and moments of a column from the sums of its parts, in whole numbers of any size."""
+    if not s0:
+        return None, None, None, None
+    s1, s2 = (sum(int(v) * 10 ** (9 * i) for i, v in enumerate(p)) for p in (limbs, squares))
+    return float(s1), float(s2), float(s1) / s0, (float(max(s0 * s2 - s1 * s1, 0)) / (float(s0) * float(s0))) ** 0.5
+
+
 def column_profile(df: DataFrame, load: str, columns: list[str], patterns: dict[str, str] | None = None) -> DataFrame:
     """One row per load and column: nulls, distinct values, violations, range, exact sums, change to the load before.
 
@@ -43,27 +59,24 @@ def column_profile(df: DataFrame, load: str, columns: list[str], patterns: dict[
     good = F.col("x").isNotNull()
     for c, p in (patterns or {}).items():
         good = F.when(F.col("col") == c, F.coalesce(F.col("value").rlike(p), F.lit(False))).otherwise(good)
-    small = F.when(F.abs("x") < F.lit(10**12), F.col("x")).cast("decimal(14,0)")
     n = F.col("n")
+    limbs, squares = _limbs(F.col("x"))
+    sums = lambda parts: F.array(*[F.coalesce(F.sum(p.cast("decimal(19,0)") * n.cast("decimal(18,0)")), F.lit(0)).cast("string") for p in parts])
     stats = vc.withColumn("good", good).groupBy("load", "col").agg(
         F.sum("n").alias("rows"),
         F.sum(F.when(F.col("value").isNull(), n).otherwise(0)).alias("nulls"),
         F.count("value").alias("distinct_values"),
         F.sum(F.when(F.col("value").isNotNull() & ~F.col("good"), n).otherwise(0)).alias("violations"),
         F.min("x").cast("double").alias("low"), F.max("x").cast("double").alias("high"),
-        F.sum(F.when(small.isNotNull(), n)).alias("s0"),
-        F.try_sum((small * n).cast("decimal(38,0)")).alias("s1"),
-        F.try_sum((small * small * n).cast("decimal(38,0)")).alias("s2"),
+        F.sum(F.when(F.col("x").isNotNull(), n)).alias("s0"),
+        sums(limbs).alias("limbs"), sums(squares).alias("squares"),
     )
-    mean = safe_div("s1", "s0")
-    stats = stats.withColumn("mean", mean).withColumn(
-        "sd", F.sqrt(F.greatest(F.lit(0.0), F.try_divide((F.col("s0").cast("decimal(20,0)") * F.col("s2") - F.col("s1") * F.col("s1")).cast("double"), F.col("s0").cast("double") * F.col("s0"))))
-    )
+    stats = stats.withColumn("m", F.udf(_moments, "s1 double, s2 double, mean double, sd double")("s0", "limbs", "squares")).select("*", "m.*").drop("m", "limbs", "squares")
     prior = stats.select((F.col("load") + 1).alias("load"), "col", F.col("mean").alias("mean_p"), F.col("sd").alias("sd_p"), F.col("nulls").alias("nulls_p"), F.col("rows").alias("rows_p"))
     both = stats.join(prior, ["load", "col"], "left")
     pooled = F.sqrt((F.col("sd") * F.col("sd") + F.col("sd_p") * F.col("sd_p")) / 2)
     return both.select(
-        "load", "col", "rows", "nulls", "distinct_values", "violations", "low", "high", "s0", F.col("s1").cast("double").alias("s1"), F.col("s2").cast("double").alias("s2"), "mean", "sd",
+        "load", "col", "rows", "nulls", "distinct_values", "violations", "low", "high", "s0", "s1", "s2", "mean", "sd",
         safe_div(F.col("mean") - F.col("mean_p"), pooled).alias("std_diff"),
         (safe_div("nulls", "rows") - safe_div("nulls_p", "rows_p")).alias("null_rate_diff"),
     )

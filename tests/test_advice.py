@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from fieldspark.operators import models
+from fieldspark.operators import models, profile
 
 
 # ---------------------------------------------------------------- opponent_adjusted
@@ -61,3 +61,16 @@ def test_opponent_adjusted_query_has_a_row_per_season(spark, data):
     assert {"season", "valid_games", "net_adj_epa", "net_adj_epa_rank"} <= set(got.columns)
     rows = got.collect()
     assert rows and len({(r.season, r.team_id) for r in rows}) == len(rows) and all(r.valid_games >= 2 for r in rows)
+
+
+# ---------------------------------------------------------------- p4_profile
+def test_profile_sums_numbers_of_any_size(spark):
+    loads = {1: [10**12, 10**12 + 1, -7], 2: [9 * 10**12, 9 * 10**12 + 5, -(10**37), 10**37]}
+    df = spark.createDataFrame([(k, str(v)) for k, vs in loads.items() for v in vs * 2], "load int, v string")
+    got = {r.load: r for r in profile.column_profile(df, "load", ["v"]).collect()}
+    for k, vs in loads.items():
+        vs, r = vs * 2, got[k]
+        n, s1, s2 = len(vs), sum(vs), sum(v * v for v in vs)
+        assert (r.s0, r.s1, r.s2) == (n, float(s1), float(s2)) and r.mean == pytest.approx(s1 / n, rel=1e-12)
+        assert r.sd == pytest.approx(float(n * s2 - s1 * s1) ** 0.5 / n, rel=1e-12)
+    assert got[2].std_diff is not None
