@@ -661,8 +661,8 @@ def bootstrap_margin(spark, d):
 
 @query()
 def season_simulation(spark, d):
-    g = game_margins(spark, d).where("home_id is not null and away_id is not null and season is not null")
-    return models.simulate_season(g.select("game_id", "home_id", "away_id", F.lit(2.5).alias("expected"), F.lit(16.0).alias("sd")), 200)
+    g = models.strength_forecasts(game_margins(spark, d).where("season is not null").withColumn("league", F.lit("all")), "league")
+    return models.simulate_season(g.select("season", "game_id", "home_id", "away_id", "expected", F.sqrt("variance").alias("sd")), 200)
 
 
 @query()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -74,3 +76,29 @@ def test_profile_sums_numbers_of_any_size(spark):
         assert (r.s0, r.s1, r.s2) == (n, float(s1), float(s2)) and r.mean == pytest.approx(s1 / n, rel=1e-12)
         assert r.sd == pytest.approx(float(n * s2 - s1 * s1) ** 0.5 / n, rel=1e-12)
     assert got[2].std_diff is not None
+
+
+# ---------------------------------------------------------------- season_simulation
+def test_simulation_counts_each_season_for_itself(spark):
+    games = [(2023, 1, 10, 20, 100.0, 1.0), (2023, 2, 20, 10, -100.0, 1.0), (2024, 3, 10, 20, -100.0, 1.0)]
+    got = models.simulate_season(spark.createDataFrame(games, "season int, game_id bigint, home_id bigint, away_id bigint, expected double, sd double"), 20).collect()
+    assert {(r.season, r.team_id): (r.mean_wins, r.unbeaten) for r in got} == {(2023, 10): (2.0, 1.0), (2023, 20): (0.0, 0.0), (2024, 10): (0.0, 0.0), (2024, 20): (1.0, 1.0)}
+
+
+def test_season_simulation_query_uses_forecasts(spark, data):
+    import __spark_entry__ as e
+
+    q = e.queries()
+    games = q["strength_forecasts"](spark, data).where("season is not null").toPandas()
+    assert games["expected"].nunique() > 2
+    got = q["season_simulation"](spark, data).toPandas().set_index(["season", "team_id"])
+    assert got.index.is_unique
+    for season, g in games.groupby("season"):
+        teams = set(g["home_id"]) | set(g["away_id"])
+        assert set(got.loc[season].index) == teams
+        # the simulated mean follows the forecasts' win probabilities
+        p = g.apply(lambda r: 0.5 * (1 + math.erf(r["expected"] / (2 * r["variance"]) ** 0.5)), axis=1)
+        for t in teams:
+            want = p[g["home_id"] == t].sum() + (1 - p[g["away_id"] == t]).sum()
+            n = (g["home_id"] == t).sum() + (g["away_id"] == t).sum()
+            assert abs(got.loc[(season, t), "mean_wins"] - want) < 5 * (0.25 * n / 200) ** 0.5
