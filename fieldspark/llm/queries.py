@@ -47,7 +47,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- 10
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    pieces = split.split_documents(table(spark, d, "documents"), with_text=False)
+    pieces = split.split_documents(table(spark, d, "documents"), with_text=False, sized=False)
     return pieces.where("n_pieces > 1 and piece_no = 0").select("doc_id").distinct()
 
 

@@ -164,8 +164,11 @@ _COLS = ["doc_id", "piece_no", "n_pieces", "start_token", "end_token", "n_tokens
 _SCHEMA = "doc_id bigint, piece_no int, n_pieces int, start_token bigint, end_token bigint, n_tokens bigint, start_char bigint, end_char bigint, text string"
 
 
-def split_documents(docs: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, path: str | None = None, with_text: bool = True) -> DataFrame:
-    """One row per piece; docs: doc_id, text. Offsets are in tokens and characters of the document."""
+def split_documents(docs: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, path: str | None = None, with_text: bool = True, sized: bool = True) -> DataFrame:
+    """One row per piece; docs: doc_id, text. Offsets are in tokens and characters of the document.
+
+    Without ``sized`` texts that cannot be above the limit (by their bytes) are not counted: their sizes are NULL.
+    """
     if not 0 <= overlap < limit:
         raise ValueError("the overlap must be smaller than the limit")
     where = path or default_path()
@@ -176,8 +179,8 @@ def split_documents(docs: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP,
             out, ids, texts, held = [], [], [], 0
             for ident, text in zip(pdf["doc_id"].tolist(), pdf["text"].tolist(), strict=True):
                 if not text or len(text) <= limit and len(text.encode("utf-8")) <= limit:
-                    n = len(text or "")
-                    out.append((ident, 0, 1, 0, None if text else 0, None if text else 0, 0, n, (text or "") if with_text else None))
+                    n, size = len(text or ""), c.tokens(text) if sized or not text else None
+                    out.append((ident, 0, 1, 0, size, size, 0, n, (text or "") if with_text else None))
                     continue
                 ids.append(ident)
                 texts.append(text)
