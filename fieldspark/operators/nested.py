@@ -127,8 +127,9 @@ _WHOLE = _let(
     """case when cardinality(try_variant_get(z, '$', 'array<variant>')) = 1 and try_parse_json(concat('{"d":', b, '}')) is not null then try_variant_get(z, '$[0]', 'variant') end""",
 )
 
-#: The text of the one object in a body, whatever it is wrapped in (three layers at most).
-UNWRAPPED = "aggregate(sequence(1, 3), ltrim('\\ufeff', body), (b, n) -> case when b rlike '^\\\\s*[{]' then b else " + _let(
+#: The text of the one object in a body, whatever it is wrapped in. Each layer has a character before the object's brace, whether
+#: written plainly or escaped, so there are no more layers than characters before the first plain brace.
+UNWRAPPED = "aggregate(sequence(1, greatest(1, length(substring_index(body, '{', 1)))), ltrim('\\ufeff', body), (b, n) -> case when b rlike '^\\\\s*[{]' then b else " + _let(
     _WHOLE, "y",
     "case when schema_of_variant(y) = 'STRING' then try_variant_get(y, '$', 'string') "
     "when cardinality(try_variant_get(y, '$', 'array<variant>')) = 1 then to_json(try_variant_get(y, '$[0]', 'variant')) end",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 
 import numpy as np
@@ -9,7 +10,7 @@ import pandas as pd
 import pytest
 
 from fieldspark.llm import split, tokens
-from fieldspark.operators import models, profile
+from fieldspark.operators import models, nested, profile
 
 
 # ---------------------------------------------------------------- opponent_adjusted
@@ -91,6 +92,17 @@ def test_short_texts_have_sizes(spark):
     assert got[3].n_pieces > 1 and sum(r.n_pieces == 1 for r in got.values()) == 4
 
 
+# ---------------------------------------------------------------- p6_found
+@pytest.mark.parametrize("layers", ["s", "sssss", "aaaaaa", "sasasas", "uu", "ususu", " s"])
+def test_bodies_are_unwrapped_to_the_last_layer(spark, layers):
+    body = json.dumps({"id": 5, "k": "{v"})
+    for w in layers:
+        body = {"s": json.dumps(body), "a": f"[{body}]", " ": f" \n{body}", "u": '"' + "".join(f"\\u{ord(ch):04x}" for ch in body) + '"'}[w]
+    df = spark.createDataFrame([(5, 1, 1, '{"id": 5, "k": "old"}'), (5, 2, 2, body), (6, 1, 3, "[[1]]"), (7, 1, 4, '"no object"')], "game_id bigint, loaded_at int, doc_row_id bigint, body string")
+    got = nested.readable_documents(df).selectExpr("game_id", "variant_get(doc, '$.k', 'string') as k").collect()
+    assert [tuple(r) for r in got] == [(5, "{v")]
+
+
 # ---------------------------------------------------------------- season_simulation
 def test_simulation_counts_each_season_for_itself(spark):
     games = [(2023, 1, 10, 20, 100.0, 1.0), (2023, 2, 20, 10, -100.0, 1.0), (2024, 3, 10, 20, -100.0, 1.0)]
