@@ -122,9 +122,14 @@ def renames(recs: DataFrame, spans: DataFrame, order: DataFrame, id_field: str =
     pairs = old.join(new, ["feed", "at", "rec"]).groupBy("feed", "at", "old", "new").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("was") == F.col("now")).cast("int")).alias("same"))
     good = pairs.where(F.col("same") >= F.col("n") * MIN_SHARE)
     key = lambda c: F.lower(F.regexp_replace(c, "[^A-Za-z0-9]", ""))
-    best = [F.desc(F.col("same") / F.col("n")), F.desc("same"), F.levenshtein(key("old"), key("new")), F.col("old"), F.col("new")]
-    ranked = good.withColumn("ro", F.row_number().over(Window.partitionBy("feed", "at", "old").orderBy(*best))).withColumn("rn", F.row_number().over(Window.partitionBy("feed", "at", "new").orderBy(*best)))
-    return ranked.where("ro = 1 and rn = 1").select("feed", F.col("at").alias("idx"), "old", "new")
+    # best pair first, then the best of the fields still unmatched, and so on: the same as repeated mutual-best rounds, as the order is total
+    best = F.struct((-F.col("same") / F.col("n")).alias("a"), (-F.col("same")).alias("b"), F.levenshtein(key("old"), key("new")).alias("c"), "old", "new")
+    taken = (
+        "aggregate(p, cast(array() as array<struct<old: string, new: string>>), "
+        "(got, x) -> if(exists(got, g -> g.old = x.old or g.new = x.new), got, array_append(got, named_struct('old', x.old, 'new', x.new))))"
+    )
+    ranked = good.groupBy("feed", "at").agg(F.sort_array(F.collect_list(best)).alias("p"))
+    return ranked.select("feed", F.col("at").alias("idx"), F.expr(f"inline({taken})"))
 
 
 def _islands(spans: DataFrame, alias: DataFrame) -> DataFrame:

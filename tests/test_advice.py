@@ -10,7 +10,7 @@ import pandas as pd
 import pytest
 
 from fieldspark.llm import split, tokens
-from fieldspark.operators import models, nested, profile
+from fieldspark.operators import drift, models, nested, profile
 
 
 # ---------------------------------------------------------------- opponent_adjusted
@@ -67,6 +67,15 @@ def test_opponent_adjusted_query_has_a_row_per_season(spark, data):
     assert rows and len({(r.season, r.team_id) for r in rows}) == len(rows) and all(r.valid_games >= 2 for r in rows)
 
 
+# ---------------------------------------------------------------- p7_found, p7_plays, p7_team_summaries
+def test_renames_are_matched_until_no_pair_is_left(spark):
+    old, new = ["flag_a", "flag_b"], ["flag_aa", "flag_zzz"]  # flag_b is nearer to flag_aa, which is flag_a's
+    files = {(1, 1): [{"id": i, **dict.fromkeys(old, i % 2)} for i in range(4)], (1, 2): [{"id": i, **dict.fromkeys(new, i % 2)} for i in range(4)]}
+    rows = [(f * 100 + n * 10 + i, f, "d", n, json.dumps(r)) for (f, n), rs in files.items() for i, r in enumerate(rs)]
+    df = spark.createDataFrame(rows, "record_row_id bigint, feed_id bigint, dataset string, file_no int, body string")
+    assert {(r.field, r.change) for r in drift.changes(df).collect()} == {("flag_aa", "renamed"), ("flag_zzz", "renamed")}
+
+
 # ---------------------------------------------------------------- p4_profile
 def test_profile_sums_numbers_of_any_size(spark):
     loads = {1: [10**12, 10**12 + 1, -7], 2: [9 * 10**12, 9 * 10**12 + 5, -(10**37), 10**37]}
