@@ -36,7 +36,10 @@ def _summaries(a: argparse.Namespace) -> None:
     ship(spark)
     p = plays.with_measures(plays.scrimmage(plays.latest_delivery(table(spark, a.data, "summaries_input"))))
     for season in range(a.start, a.end + 1):
-        s = summaries.side_summaries(p.where((F.col("season") == season) & (F.col("week") <= (a.through_week or 99)))).drop("season")
+        part = p.where(F.col("season") == season)
+        if a.through_week:
+            part = part.where(F.col("week") <= a.through_week)
+        s = summaries.side_summaries(part).drop("season")
         if a.dry_run:
             print(season, s.count(), "rows")
         elif a.through_week:

@@ -650,8 +650,7 @@ def strength_forecasts(spark, d):
 
 @query()
 def filter_grid(spark, d):
-    g = game_margins(spark, d).select("season", "kickoff", "game_id", "home_id", "away_id", F.coalesce("neutral_site", F.lit(False)).alias("neutral_site"), F.col("margin").cast("double").alias("margin"))
-    return models.grid_search(g, [{"home": h, "drift_var": v} for h in (0.0, 2.5) for v in (0.5, 2.0)])
+    return models.grid_search(game_margins(spark, d), [{"season_share": h, "week_var": v} for h in (0.72, 0.9) for v in (0.35, 1.5)])
 
 
 @query()

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "fieldspark", master: str | None = None, **conf: str) -> SparkSession:
@@ -26,20 +29,38 @@ def build_session(app: str = "fieldspark", master: str | None = None, **conf: st
     return b.getOrCreate()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the files.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the cluster's ``spark.checkpoint.dir``.
 
-    The folder is the cluster's ``spark.checkpoint.dir``; only where that is unset
-    (single-machine tests) a temporary folder is taken.
+    Only a local session without the setting (tests) takes a temporary folder, which is removed at exit;
+    a cluster without it is an error, as a folder of one machine would lose data.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        shared = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="fieldspark_cp_"))
+    have = sc._jsc.sc().getCheckpointDir()
+    if have.isDefined():
+        return have.get()
+    shared = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="fieldspark_cp_")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
+    sc.setCheckpointDir(shared)
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and go on from the files."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """``df``, cut; marked for broadcasting only if it has at most ``rows`` rows (else the planner decides)."""
+    df = cut(df)
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+MAX_CURVE = 100_000
+
 
 def json_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(documents, quarantine): one document per file as VARIANT; unreadable files are kept apart, none stops the read."""
@@ -25,8 +27,10 @@ def schedule_ids(spark: SparkSession, path: str, seasons: list[int]) -> DataFram
 
 
 def curve(spark: SparkSession, path: str, key: str, value: str) -> list[float]:
-    """A lookup curve of at most 1000 points, ordered by its key."""
-    rows = spark.read.csv(path, header=True, schema=f"{key} double, {value} double").orderBy(key).limit(1000).collect()
+    """A lookup curve, ordered by its key; more than MAX_CURVE points are an error, as a curve becomes a literal of the plan."""
+    rows = spark.read.csv(path, header=True, schema=f"{key} double, {value} double").orderBy(key).limit(MAX_CURVE + 1).collect()
+    if len(rows) > MAX_CURVE:
+        raise ValueError(f"{path}: more than {MAX_CURVE} points")
     return [float(r[value]) for r in rows]
 
 

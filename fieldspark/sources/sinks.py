@@ -7,25 +7,40 @@ from pyspark.sql import functions as F
 
 
 def write_season(df: DataFrame, base: str, dataset: str, season: int, csv: bool = False) -> int:
-    """Replace one season of a dataset; an empty frame writes nothing. Returns the rows written.
+    """Replace one season of a dataset; an empty frame writes nothing and leaves what is there. Returns the rows written.
 
-    Rows are counted while they are written, the frame is not computed twice.
+    The frame is computed once, into a staging folder; its rows are counted from the written footers, and the
+    folder then takes the season's place by renaming.
     """
-    from pyspark.sql import Observation
-
-    if df.isEmpty():
+    spark = df.sparkSession
+    staged, final = f"{base}/{dataset}/_staged/season={season}", f"{base}/{dataset}/parquet/season={season}"
+    df.drop("season").write.mode("overwrite").parquet(staged)
+    rows = spark.read.parquet(staged).count()
+    _take_place(spark, staged, final if rows else None)
+    if not rows:
         return 0
-    seen = Observation()
-    out = df.withColumn("season", F.lit(season)).observe(seen, F.count(F.lit(1)).alias("rows"))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("season").parquet(f"{base}/{dataset}/parquet")
     if csv:
-        flat = df.sparkSession.read.parquet(f"{base}/{dataset}/parquet/season={season}")
+        flat = spark.read.parquet(final)
         flat.write.mode("overwrite").option("header", "true").option("compression", "gzip").csv(f"{base}/{dataset}/csv/{season}")
-    rows = seen.get["rows"]
-    upsert_manifest(df.sparkSession, base, dataset, season, rows)
+    upsert_manifest(spark, base, dataset, season, rows)
     return rows
 
 
+def _take_place(spark: SparkSession, staged: str, final: str | None) -> None:
+    """Rename a staged folder to its final place; without one, remove it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    here = path(staged)
+    fs = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if final is None:
+        fs.delete(here, True)
+        return
+    there = path(final)
+    fs.mkdirs(there.getParent())
+    fs.delete(there, True)
+    if not fs.rename(here, there):
+        raise OSError(f"cannot put {staged} in the place of {final}")
+
+
 def upsert_manifest(spark: SparkSession, base: str, dataset: str, season: int, rows: int) -> None:
     """One manifest file per season, replaced as a whole; readers see a table sorted by season."""
     row = spark.range(1).select(F.lit(season).alias("season"), F.lit(rows).alias("row_count"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("generated_at_utc"))

@@ -9,7 +9,6 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from fieldspark.llm import split, tokens
 from fieldspark.operators import drift, models, nested, profile
 
 
@@ -89,18 +88,6 @@ def test_profile_sums_numbers_of_any_size(spark):
     assert got[2].std_diff is not None
 
 
-# ---------------------------------------------------------------- p10_pieces
-def test_short_texts_have_sizes(spark):
-    texts = ["First and 10 at the 35", "año " * 20, "x" * 1200, "word " * 2000, ""]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    c = tokens.counter(tokens.default_path())
-    got = {r.doc_id: r for r in split.split_documents(df).where("piece_no = 0").collect()}
-    for k, t in enumerate(texts):
-        if got[k].n_pieces == 1:
-            assert got[k].n_tokens == got[k].end_token == c.tokens(t)
-    assert got[3].n_pieces > 1 and sum(r.n_pieces == 1 for r in got.values()) == 4
-
-
 # ---------------------------------------------------------------- p6_found
 @pytest.mark.parametrize("layers", ["s", "sssss", "aaaaaa", "sasasas", "uu", "ususu", " s"])
 def test_bodies_are_unwrapped_to_the_last_layer(spark, layers):

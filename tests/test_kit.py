@@ -180,9 +180,22 @@ def test_linear_models_recover_planted_effects(spark):
 def test_filter_learns_strength(spark):
     rng = np.random.default_rng(1)
     s = rng.normal(scale=10, size=8)
-    rows = [(2024, pd.Timestamp("2024-09-01") + pd.Timedelta(days=k), k, int(i), int(j), False, float(s[i] - s[j] + 2.5 + rng.normal())) for k, (i, j) in enumerate((i, j) for _ in range(6) for i in range(8) for j in range(8) if i != j)]
-    g = models.filter_games(pd.DataFrame(rows, columns=["season", "kickoff", "game_id", "home_id", "away_id", "neutral_site", "margin"]))
+    rows = [(2024, k // 7, k, int(i), int(j), False, float(s[i] - s[j] + 2.5 + rng.normal())) for k, (i, j) in enumerate((i, j) for _ in range(6) for i in range(8) for j in range(8) if i != j)]
+    games = pd.DataFrame(rows, columns=["season", "week", "game_id", "home_id", "away_id", "neutral_site", "margin"])
+    g = models.filter_games(games)
     assert (g["margin"] - g["expected"]).abs().tail(150).mean() < 2.5
+    fitted = models.fit_filter(spark.createDataFrame(games), rounds=1, grid={"week_var": [0.0, 3.0]})
+    assert fitted["week_var"] == 0.0 and models.forecast_score(games, **fitted) >= models.forecast_score(games)
+
+
+def test_filter_drifts_by_week_and_season():
+    rows = [(2023, 1, 1, 10, 20, False, 14.0), (2023, 4, 2, 30, 40, True, 0.0), (2024, 1, 3, 10, 20, True, None)]
+    g = models.filter_games(pd.DataFrame(rows, columns=["season", "week", "game_id", "home_id", "away_id", "neutral_site", "margin"]), week_var=2.0, season_var=5.0, season_share=0.5, prior_var=100.0, game_var=256.0, home=2.0)
+    first = 100 + 100 + 256
+    gain = 100 / first * 12.0
+    assert g["expected"].tolist() == pytest.approx([2.0, 0.0, 0.5 * 2 * gain]) and g["variance"].iloc[0] == first
+    left = 200 - 200 * 200 / first  # variance of the difference after the game, then three weeks' and a season's drift for both
+    assert g["variance"].iloc[2] == pytest.approx((left + 2 * 3 * 2.0) * 0.25 + 2 * 5.0 + 256)
 
 
 def test_expected_outcome_and_density(spark):
@@ -230,6 +243,20 @@ def test_season_tables_and_manifest(spark, tmp_path):
     assert sinks.run_summary(spark, base, ["d"]).first().rows == 5
 
 
+def test_writing_does_not_hinder_fitting(spark, tmp_path):
+    sinks.write_season(spark.range(3), str(tmp_path), "d", 2023)
+    df = spark.createDataFrame([(s, float(i % 10), float(i % 10 > 4)) for s in (1, 2) for i in range(40)], "season int, x double, y double")
+    assert models.folds(df, "season", models.HEADS["logistic"], ["x"], "y").count() == 40
+
+
+def test_curves_are_whole_or_an_error(spark, tmp_path, monkeypatch):
+    (tmp_path / "c.csv").write_text("x,y\n" + "".join(f"{i},{i / 2}\n" for i in range(1001)))
+    assert readers.curve(spark, f"{tmp_path}/c.csv", "x", "y") == [i / 2 for i in range(1001)]
+    monkeypatch.setattr(readers, "MAX_CURVE", 1000)
+    with pytest.raises(ValueError):
+        readers.curve(spark, f"{tmp_path}/c.csv", "x", "y")
+
+
 def test_readers(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"x": 1}')
     (tmp_path / "b.json").write_text('{"x": ')
