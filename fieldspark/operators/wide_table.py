@@ -1,28 +1,33 @@
 """Attribute-value rows into wide tables, as a log of sparse deltas.
 
-Every batch of (entity, attribute, value) rows becomes one *delta*: one row per entity with a
-nullable cell per attribute, each cell carrying its version. Compaction merges any number of
-deltas and older runs by keeping the latest version of every cell. Both steps are partial
-aggregates, so repeated rows of one hot entity are reduced before they are shuffled.
+Every batch of (entity, attribute, value) rows becomes one *run*: sorted sparse wide rows, one per entity, each a
+map from the attributes that occur in the batch to a cell with its version. Compaction merges any number of runs by
+keeping the latest version of every cell. The work goes with the rows, not with rows x attributes: rows are reduced
+per (entity, attribute) by partial aggregates before they are shuffled, and columns appear only when the table is read.
+
+A run knows nothing of the other runs: a row without a name is kept under its label, read once for each kind of value,
+and takes its attribute when the table is read, from the label catalogue that all batches add to.
 
 Defined results
 - entity part NULL: the row counts for nothing.
-- attribute NULL, blank or punctuation only: the attribute its label stands for in most named rows;
+- attribute NULL, blank or punctuation only: the attribute its label stands for in most named rows of all batches;
   an unknown label makes no attribute.
 - letter case, blanks and punctuation of names and labels make no difference.
 - unreadable value (also empty text, NaN): the row fills no cell and replaces none.
-- equal versions: the larger tie-break id wins; repeated rows change nothing.
+- equal versions: the larger tie-break id wins; repeated rows and repeated batches change nothing.
 - empty input: no attributes, no rows. Further columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldspark.functions.exprs import plain_text, squash_key
+from fieldspark.session import broadcast_if_small, shared_folder
 
 #: More attributes than this is an error, as every attribute is a column of the plan.
 MAX_ATTRIBUTES = 5000
@@ -59,18 +64,25 @@ class Layout:
 
 
 # ------------------------------------------------------------------ names
-def attribute_names(rows: DataFrame, lay: Layout) -> DataFrame:
+KINDS = ("whole", "decimal", "duration", "pair")
+
+
+def name_counts(rows: DataFrame, lay: Layout, run: Column) -> DataFrame:
+    """run, label, name, n: how often each spelling of a label goes with each spelling of a name."""
+    return rows.groupBy(run.alias("run"), F.col(lay.label).alias("label"), F.col(lay.name).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def attribute_names(counts: DataFrame) -> DataFrame:
     """(attribute_key, attribute): the spelling most rows use; ties go to the smaller spelling."""
-    spelled = rows.groupBy(F.col(lay.name).alias("attribute")).agg(F.count(F.lit(1)).alias("n"))
+    spelled = counts.groupBy(F.col("name").alias("attribute")).agg(F.sum("n").alias("n"))
     keyed = spelled.withColumn("attribute_key", squash_key("attribute")).where("attribute_key is not null")
     best = Window.partitionBy("attribute_key").orderBy(F.desc("n"), F.asc("attribute"))
     return keyed.withColumn("r", F.row_number().over(best)).where("r = 1").select("attribute_key", "attribute")
 
 
-def label_meanings(rows: DataFrame, lay: Layout) -> DataFrame:
+def label_meanings(counts: DataFrame) -> DataFrame:
     """(label_key, attribute_key): the attribute a label stands for in most rows that have both."""
-    pairs = rows.groupBy(lay.label, lay.name).agg(F.count(F.lit(1)).alias("n"))
-    keyed = pairs.select(squash_key(lay.label).alias("label_key"), squash_key(lay.name).alias("attribute_key"), "n").dropna()
+    keyed = counts.select(squash_key("label").alias("label_key"), squash_key("name").alias("attribute_key"), "n").dropna()
     counted = keyed.groupBy("label_key", "attribute_key").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("label_key").orderBy(F.desc("n"), F.asc("attribute_key"))
     return counted.withColumn("r", F.row_number().over(best)).where("r = 1").select("label_key", "attribute_key")
@@ -123,109 +135,140 @@ def cell_value(kind: Column, text: Column, number: Column) -> Column:
 
 
 # ------------------------------------------------------------------ log-structured table
-def resolve(rows: DataFrame, lay: Layout, labels: DataFrame) -> DataFrame:
-    """Readable rows as entity..., attribute_key, version, tie, a, b."""
+def _kind_of(lay: Layout, key: str) -> Column:
+    if not lay.kinds:
+        return F.lit("whole")
+    kinds = F.create_map(*[F.lit(x) for kv in lay.kind_by_key().items() for x in kv])
+    return F.coalesce(F.try_element_at(kinds, F.col(key)), F.lit("whole"))
+
+
+def readings(rows: DataFrame, lay: Layout, run: Column) -> DataFrame:
+    """run, entity..., key, version, tie, a, b of every readable row.
+
+    key: the attribute's key, or for a row without a name ``?kind?label key``, once for each kind it reads as.
+    """
     r = rows.where(" and ".join(f"`{c}` is not null" for c in lay.entity)).select(
-        *lay.entity, squash_key(lay.name).alias("own_key"), squash_key(lay.label).alias("label_key"), F.col(lay.text).alias("t"),
+        run.alias("run"), *lay.entity, squash_key(lay.name).alias("own_key"), F.when(squash_key(lay.name).isNull(), squash_key(lay.label)).alias("label_key"), F.col(lay.text).alias("t"),
         F.col(lay.number).cast("double").alias("x"), F.col(lay.version).alias("version"), F.col(lay.tie).alias("tie"),
     )
-    named = r.where("own_key is not null").withColumn("attribute_key", F.col("own_key"))
-    by_label = r.where("own_key is null and label_key is not null").join(labels, "label_key")
-    both = named.unionByName(by_label)
-    kinds = F.create_map(*[F.lit(x) for kv in lay.kind_by_key().items() for x in kv]) if lay.kinds else None
-    kind = F.coalesce(F.try_element_at(kinds, F.col("attribute_key")), F.lit("whole")) if lay.kinds else F.lit("whole")
-    # the generator keeps the long reading expressions from being copied into every attribute's aggregate
-    read = F.filter(F.array(cell_value(kind, F.col("t"), F.col("x"))), lambda c: c["a"].isNotNull())
-    return both.select(*lay.entity, "attribute_key", "version", "tie", F.inline(read))
+    kinds = F.when(F.col("own_key").isNotNull(), F.array(_kind_of(lay, "own_key"))).when(F.col("label_key").isNotNull(), F.array(*[F.lit(k) for k in KINDS]))
+    r = r.withColumn("kind", F.explode(kinds))
+    key = F.coalesce("own_key", F.concat(F.lit("?"), "kind", F.lit("?"), "label_key"))
+    # the generator keeps the long reading expressions from being copied into the aggregate
+    read = F.filter(F.array(cell_value(F.col("kind"), F.col("t"), F.col("x"))), lambda c: c["a"].isNotNull())
+    return r.select("run", *lay.entity, key.alias("key"), "version", "tie", F.inline(read))
+
 
+def latest(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """The latest version of every cell: keys..., cell (version, tie, a, b)."""
+    return cells.groupBy(*keys).agg(F.max("cell").alias("cell"))
 
-def delta_of(resolved: DataFrame, lay: Layout, keys: list[str], batch: Column) -> DataFrame:
-    """Sparse wide deltas: per entity and batch one versioned cell per attribute (NULL: not in the batch)."""
-    cell = F.struct("version", "tie", "a", "b")
-    aggs = [F.max(F.when(F.col("attribute_key") == k, cell)).alias(f"c_{k}") for k in keys]
-    return resolved.groupBy(*lay.entity, batch.alias("batch")).agg(*(aggs or [F.count(F.lit(1)).alias("n")]))
 
+class WideTableLog:
+    """A wide table kept in a folder as sorted runs: ``append`` adds runs, ``merge`` rewrites all runs as one.
+
+    A run takes its place whole (the committer renames it), so a lost executor leaves nothing half written; appending
+    the same batch again replaces its run. ``runs`` holds the sparse rows, ``names`` the label catalogue.
+    """
 
-def compact(runs: list[DataFrame], lay: Layout, keys: list[str]) -> DataFrame:
-    """Merge runs: the latest version of every cell."""
-    out = runs[0].drop("batch")
-    for r in runs[1:]:
-        out = out.unionByName(r.drop("batch"), allowMissingColumns=True)
-    return out.groupBy(*lay.entity).agg(*([F.max(f"c_{k}").alias(f"c_{k}") for k in keys] or [F.count(F.lit(1)).alias("n")]))
+    def __init__(self, spark, path: str, lay: Layout | None = None):
+        self.spark, self.path, self.lay = spark, path.rstrip("/"), lay or Layout()
 
+    def _write(self, df: DataFrame, part: str) -> None:
+        df.drop("run").limit(0).write.mode("ignore").parquet(f"{self.path}/{part}_layout")
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(f"{self.path}/{part}")
+
+    def _read(self, part: str) -> DataFrame:
+        schema = self.spark.read.parquet(f"{self.path}/{part}_layout").schema
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{part}")
+
+    def _write_runs(self, cells: DataFrame) -> None:
+        """Sparse wide rows out of single cells (run, entity..., key, cell), in sorted runs: a range of (run, entity) per task."""
+        place = ["run", *self.lay.entity]
+        sparse = cells.repartitionByRange(*place).groupBy(*place).agg(F.map_from_entries(F.collect_list(F.struct("key", "cell"))).alias("cells"))
+        self._write(sparse.sortWithinPartitions(*place), "runs")
+
+    def append(self, rows: DataFrame, run) -> None:
+        """Add the rows as runs; ``run``: a number or text for one batch, or a column that tells a row's batch."""
+        run = (run if isinstance(run, Column) else F.lit(run)).cast("string")
+        cells = readings(rows, self.lay, run).select("run", *self.lay.entity, "key", F.struct("version", "tie", "a", "b").alias("cell"))
+        self._write_runs(latest(cells, ["run", *self.lay.entity, "key"]))
+        self._write(name_counts(rows, self.lay, run).coalesce(1), "names")
+
+    def _single_cells(self) -> DataFrame:
+        return self._read("runs").select(*self.lay.entity, F.explode("cells").alias("key", "cell"))
+
+    def catalogue(self) -> list[tuple[str, str]]:
+        """The attributes as (key, spelling), sorted by key; at most MAX_ATTRIBUTES, else an error."""
+        got = attribute_names(self._read("names")).limit(MAX_ATTRIBUTES + 1).collect()
+        if len(got) > MAX_ATTRIBUTES:
+            raise ValueError(f"more than {MAX_ATTRIBUTES} attributes")
+        return sorted((r["attribute_key"], r["attribute"]) for r in got)
+
+    def cells(self) -> DataFrame:
+        """entity..., attribute_key, cell: the compacted table's filled cells."""
+        labels = broadcast_if_small(label_meanings(self._read("names")).select("label_key", F.col("attribute_key").alias("meant")))
+        part = F.split("key", r"\?", 3)
+        unnamed = F.col("key").startswith("?")
+        c = self._single_cells().select("*", F.when(unnamed, F.get(part, 1)).alias("read_as"), F.when(unnamed, F.get(part, 2)).alias("label_key"))
+        c = c.join(labels, "label_key", "left").withColumn("attribute_key", F.when(F.col("read_as").isNull(), F.col("key")).otherwise(F.col("meant")))
+        fits = F.col("read_as").isNull() | (F.col("read_as") == _kind_of(self.lay, "attribute_key"))
+        return latest(c.where(F.col("attribute_key").isNotNull() & fits), [*self.lay.entity, "attribute_key"])
+
+    def _pivot(self, column) -> DataFrame:
+        """One row per entity; ``column``(cell, key, name) makes each attribute's column."""
+        rows = self.cells().groupBy(*self.lay.entity).agg(F.map_from_entries(F.collect_list(F.struct("attribute_key", "cell"))).alias("m"))
+        return rows.select(*self.lay.entity, *[column(F.try_element_at("m", F.lit(k)), k, name) for k, name in self.catalogue()])
 
-def catalogue(rows: DataFrame, lay: Layout) -> list[tuple[str, str]]:
-    """The attributes as (key, spelling), sorted by key; at most MAX_ATTRIBUTES, else an error."""
-    got = attribute_names(rows, lay).limit(MAX_ATTRIBUTES + 1).collect()
-    if len(got) > MAX_ATTRIBUTES:
-        raise ValueError(f"more than {MAX_ATTRIBUTES} attributes")
-    return sorted((r["attribute_key"], r["attribute"]) for r in got)
+    def read(self) -> DataFrame:
+        """The table with its versioned cells ``c_<key>``."""
+        return self._pivot(lambda c, k, name: c.alias(f"c_{k}"))
 
+    def typed(self) -> DataFrame:
+        """One typed column per attribute, named by its usual spelling."""
+        kinds = self.lay.kind_by_key()
+        return self._pivot(lambda c, k, name: _typed(kinds.get(k, "whole"), c).alias(name))
 
-def wide_cells(rows: DataFrame, lay: Layout | None = None, batch: Column | None = None) -> tuple[DataFrame, list[tuple[str, str]]]:
-    """The compacted table with its versioned cells ``c_<key>``, and the catalogue.
+    def long(self) -> DataFrame:
+        """entity..., stat, val of the filled cells (pairs as 1000 x first + second)."""
+        names = F.create_map(*[F.lit(x) for kv in self.catalogue() for x in kv]) if self.catalogue() else F.create_map().cast("map<string,string>")
+        val = F.when(F.col("cell.b").isNull(), F.col("cell.a")).otherwise(F.col("cell.a") * 1000 + F.col("cell.b"))
+        return self.cells().select(*self.lay.entity, F.try_element_at(names, F.col("attribute_key")).alias("stat"), val.alias("val"))
 
-    ``batch`` cuts the rows into deltas; by default the month of the version.
-    """
-    lay = lay or Layout()
-    cat = catalogue(rows, lay)
-    keys = [k for k, _ in cat]
-    resolved = resolve(rows, lay, label_meanings(rows, lay))
-    deltas = delta_of(resolved, lay, keys, F.date_trunc("month", F.col("version")) if batch is None else batch)
-    return compact([deltas], lay, keys), cat
+    def merge(self, target: str) -> "WideTableLog":
+        """Write one sorted run to ``target`` and return the log there; the old runs stay for readers."""
+        out = WideTableLog(self.spark, target, self.lay)
+        out._write_runs(latest(self._single_cells(), [*self.lay.entity, "key"]).withColumn("run", F.lit("0")))
+        counts = self._read("names").groupBy("label", "name").agg(F.sum("n").alias("n")).withColumn("run", F.lit("0"))
+        out._write(counts.select("run", "label", "name", "n").coalesce(1), "names")
+        return out
 
 
-def _typed(kind: str, c: str) -> Column:
-    a, b = F.col(f"{c}.a"), F.col(f"{c}.b")
+def _typed(kind: str, cell: Column) -> Column:
+    a, b = cell["a"], cell["b"]
     if kind == "decimal":
-        return (a / F.lit(1000)).cast("decimal(18,3)")
+        return (a.cast("decimal(19,0)") * F.lit("0.001").cast("decimal(3,3)")).cast("decimal(19,3)")
     if kind == "pair":
         return F.when(a.isNotNull(), F.struct(a.alias("first"), b.alias("second")))
     return a
 
 
+def as_log(rows: DataFrame, lay: Layout | None = None, batch: Column | None = None) -> WideTableLog:
+    """The rows as a log in the shared folder; ``batch`` cuts them into runs, by default the month of the version."""
+    lay = lay or Layout()
+    log = WideTableLog(rows.sparkSession, f"{shared_folder(rows.sparkSession)}/wide_{uuid.uuid4().hex}", lay)
+    log.append(rows, F.date_format(F.col(lay.version), "yyyy-MM") if batch is None else batch)
+    return log
+
+
 def wide_table(rows: DataFrame, lay: Layout | None = None) -> DataFrame:
     """One row per entity with one typed column per attribute, named by its usual spelling.
 
-    Whole numbers and seconds are BIGINT, decimals DECIMAL(18,3), pairs STRUCT<first, second>.
+    Whole numbers and seconds are BIGINT, decimals DECIMAL(19,3) (as wide as the BIGINT of their thousandths), pairs STRUCT<first, second>.
     """
-    lay = lay or Layout()
-    cells, cat = wide_cells(rows, lay)
-    kinds = lay.kind_by_key()
-    return cells.select(*lay.entity, *[_typed(kinds.get(k, "whole"), f"c_{k}").alias(name) for k, name in cat])
+    return as_log(rows, lay).typed()
 
 
 def long_cells(rows: DataFrame, lay: Layout | None = None) -> DataFrame:
     """The wide table's filled cells as entity..., stat, val (pairs as 1000 x first + second)."""
-    lay = lay or Layout()
-    cells, cat = wide_cells(rows, lay)
-    if not cat:
-        return cells.select(*lay.entity, F.lit(None).cast("string").alias("stat"), F.lit(None).cast("bigint").alias("val")).limit(0)
-    each = F.array(*[F.struct(F.lit(name).alias("stat"), F.when(F.col(f"c_{k}.b").isNull(), F.col(f"c_{k}.a")).otherwise(F.col(f"c_{k}.a") * 1000 + F.col(f"c_{k}.b")).alias("val")) for k, name in cat])
-    return cells.select(*lay.entity, F.inline(each)).where("val is not null")
-
-
-class WideTableLog:
-    """A wide table kept on disk as runs: ``append`` adds a delta, ``merge`` rewrites all runs as one.
-
-    A run is written whole before it is listed (directory rename by the file committer), so a lost
-    executor or a repeated append of the same batch leaves the latest versions unchanged.
-    """
-
-    def __init__(self, spark, path: str, lay: Layout | None = None):
-        self.spark, self.path, self.lay = spark, path.rstrip("/"), lay or Layout()
-
-    def append(self, rows: DataFrame, run: int, labels: DataFrame | None = None) -> None:
-        keys = [k for k, _ in catalogue(rows, self.lay)]
-        resolved = resolve(rows, self.lay, label_meanings(rows, self.lay) if labels is None else labels)
-        delta = delta_of(resolved, self.lay, keys, F.lit(run)).drop("batch")
-        delta.sortWithinPartitions(*self.lay.entity).write.mode("overwrite").parquet(f"{self.path}/run={run}")
-
-    def read(self) -> DataFrame:
-        runs = self.spark.read.option("mergeSchema", "true").parquet(self.path).drop("run")
-        return compact([runs], self.lay, [c[2:] for c in runs.columns if c.startswith("c_")])
-
-    def merge(self, target: str) -> "WideTableLog":
-        """Write one sorted run to ``target`` and return the log there; the old runs stay for readers."""
-        self.read().sortWithinPartitions(*self.lay.entity).write.mode("overwrite").parquet(f"{target.rstrip('/')}/run=0")
-        return WideTableLog(self.spark, target, self.lay)
+    return as_log(rows, lay).long()

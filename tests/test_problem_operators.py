@@ -69,7 +69,7 @@ def test_wide_empty_and_types(spark):
     assert wide_table.wide_table(empty).columns == ["game_id", "team_id"]
     one = stats(spark, [(1, 1, "yardsPerPass", None, "8.1", None, 0), (1, 1, "completionAttempts", None, "2-3", None, 0), (1, 1, "turnovers", None, "2", None, 0)])
     types = dict(wide_table.wide_table(one).dtypes)
-    assert types["yardsPerPass"] == "decimal(18,3)" and types["turnovers"] == "bigint" and types["completionAttempts"] == "struct<first:bigint,second:bigint>"
+    assert types["yardsPerPass"] == "decimal(19,3)" and types["turnovers"] == "bigint" and types["completionAttempts"] == "struct<first:bigint,second:bigint>"
 
 
 def test_wide_log_of_deltas(spark, tmp_path):
@@ -84,6 +84,24 @@ def test_wide_log_of_deltas(spark, tmp_path):
         assert {(r.game_id, r.team_id): (r.c_turnovers.a, r.c_firstdowns and r.c_firstdowns.a) for r in t.read().collect()} == want
 
 
+def test_wide_log_keeps_rows_that_only_have_a_label(spark, tmp_path):
+    named = stats(spark, [(1, 1, "yardsPerPass", "Yards per Pass", "8.5", None, 0)])
+    labelled = stats(spark, [(1, 1, None, "YARDS PER PASS", "9.25", None, 2), (1, 2, None, "Yards per pass", "7", None, 2), (1, 2, None, "Yards per pass", "12:30", None, 3), (1, 3, None, "other", "7", None, 3)])
+    for order in ([named, labelled], [labelled, named]):
+        log = wide_table.WideTableLog(spark, f"{tmp_path}/{id(order)}")
+        for k, rows in enumerate(order):
+            log.append(rows, k)
+        for t in (log, log.merge(f"{tmp_path}/m{id(order)}")):
+            assert {(r.team_id, r.stat, r.val) for r in t.long().collect()} == {(1, "yardsPerPass", 9250), (2, "yardsPerPass", 7000)}
+
+
+def test_wide_numbers_at_the_edge(spark):
+    big = 9_000_000_000_000_000
+    rows = [(1, 1, "yardsPerPass", None, f"{big}", None, 0), (1, 1, "turnovers", None, "9" * 18, None, 0), (1, 2, "turnovers", None, "9" * 40, None, 0), (1, 2, "yardsPerPass", None, "9" * 25, None, 0), (1, 3, "turnovers", None, None, float("inf"), 0)]
+    (r,) = wide_table.wide_table(stats(spark, rows)).collect()
+    assert (r.team_id, int(r.yardsPerPass), r.turnovers) == (1, big, 10**18 - 1)
+
+
 # ---------------------------------------------------------------- 3
 def test_orphans_against_plain_python(spark):
     rnd = random.Random(5)
