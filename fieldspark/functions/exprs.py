@@ -137,14 +137,15 @@ def last_by(value, *order) -> Column:
 # ---------------------------------------------------------------- text
 def squash_key(c) -> Column:
     """Matching key: lower case, letters and digits only; NULL where nothing is left."""
-    k = F.regexp_replace(F.lower(col(c)), r"[^\p{L}\p{N}]+", "")
-    return F.when(k != "", k)
+    k = F.nullif(F.regexp_replace(F.lower(col(c)), r"[^\p{L}\p{N}]+", ""), F.lit(""))
+    return F.when(col(c).rlike("^[A-Za-z0-9]+$"), F.lower(col(c))).otherwise(k)
 
 
 def plain_text(c) -> Column:
     """Every kind of space becomes a blank, every minus sign a hyphen-minus; ends trimmed."""
     s = F.regexp_replace(col(c), r"[\s  -​ 　﻿]+", " ")
-    return F.trim(F.regexp_replace(s, "−", "-"))
+    spaced = F.trim(F.regexp_replace(s, "−", "-"))
+    return F.when(col(c).rlike("^[0-9A-Za-z.:,%()/+-]*$"), col(c)).otherwise(spaced)
 
 
 def whole_number(c) -> Column:

@@ -93,10 +93,10 @@ _GROUPED = r"[0-9]{1,3}(,[0-9]{3})+"
 
 
 def _whole(s: Column) -> Column:
-    digits = F.regexp_replace(F.regexp_replace(F.regexp_replace(s, r"\.0*$", ""), r"[,()+]", ""), " ", "")
+    digits = F.translate(F.substring_index(s, ".", 1), ",()+ ", "")
     signed = F.when(s.startswith("("), F.concat(F.lit("-"), digits)).otherwise(digits)
     body = rf"([0-9]+|{_GROUPED})(\.0*)?"
-    return F.when(s.rlike(rf"^([+-] ?)?{body}$") | s.rlike(rf"^\({body}\)$"), signed.try_cast("bigint"))
+    return F.when(s.rlike("^[0-9]+$"), s.try_cast("bigint")).when(s.rlike(rf"^([+-] ?)?{body}$") | s.rlike(rf"^\({body}\)$"), signed.try_cast("bigint"))
 
 
 def _thousandths(s: Column) -> Column:
@@ -148,9 +148,10 @@ def readings(rows: DataFrame, lay: Layout, run: Column) -> DataFrame:
     key: the attribute's key, or for a row without a name ``?kind?label key``, once for each kind it reads as.
     """
     r = rows.where(" and ".join(f"`{c}` is not null" for c in lay.entity)).select(
-        run.alias("run"), *lay.entity, squash_key(lay.name).alias("own_key"), F.when(squash_key(lay.name).isNull(), squash_key(lay.label)).alias("label_key"), F.col(lay.text).alias("t"),
+        run.alias("run"), *lay.entity, squash_key(lay.name).alias("own_key"), F.col(lay.label).alias("label"), F.col(lay.text).alias("t"),
         F.col(lay.number).cast("double").alias("x"), F.col(lay.version).alias("version"), F.col(lay.tie).alias("tie"),
     )
+    r = r.withColumn("label_key", F.when(F.col("own_key").isNull(), squash_key("label"))).drop("label")
     kinds = F.when(F.col("own_key").isNotNull(), F.array(_kind_of(lay, "own_key"))).when(F.col("label_key").isNotNull(), F.array(*[F.lit(k) for k in KINDS]))
     r = r.withColumn("kind", F.explode(kinds))
     key = F.coalesce("own_key", F.concat(F.lit("?"), "kind", F.lit("?"), "label_key"))
