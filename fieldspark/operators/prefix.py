@@ -2,7 +2,8 @@
 
 A plain window over a hot key sends all its rows through one task. Here each key is cut into
 ordered buckets; bucket totals (few rows, pre-aggregated before the shuffle) give every bucket its
-carry-in, and only rows of one (key, bucket) meet in a task.
+carry-in, and only rows of one (key, bucket) meet in a task. ``ordered_buckets`` cuts by counted rows:
+where no key is large there is one bucket and the window is an ordinary one.
 """
 
 from __future__ import annotations
@@ -10,6 +11,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldspark.session import cut
+
+#: Rows of one key that a task may hold.
+BUCKET_ROWS = 500_000
+
+
+def ordered_buckets(df: DataFrame, keys: list[str], order: list[str], rows: int | None = None) -> tuple[DataFrame, bool]:
+    """(df with ``bucket``, whether any key was cut): buckets grow with ``order`` inside a key and hold about ``rows`` rows.
+
+    Large keys are cut by Spark's range partitioner over (keys, order), whose sampled bounds balance rows; equal
+    orders stay together. The ranges are written down once, as every later step must see the same ones.
+    """
+    rows = rows or BUCKET_ROWS
+    largest, every = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
+    if (largest or 0) <= rows:
+        return df.withColumn("bucket", F.lit(0)), False
+    return cut(df.repartitionByRange(-(-every // rows) + 1, *keys, *order).withColumn("bucket", F.spark_partition_id())), True
+
+
+def running(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, str] | None = None, maxima: dict[str, str] | None = None, rows: int | None = None) -> DataFrame:
+    """Adds columns: sums and maxima (name -> value column) over this and all earlier rows of the key, whatever the key's size.
+
+    NULL adds nothing to a sum and is no maximum. Rows of equal order see each other's values in the order given only
+    if ``order`` is total.
+    """
+    cutdown, hot = ordered_buckets(df, keys, order, rows)
+    inside = Window.partitionBy(*keys, *(["bucket"] if hot else [])).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    aggs = {**{o: (F.sum, v) for o, v in (sums or {}).items()}, **{o: (F.max, v) for o, v in (maxima or {}).items()}}
+    own = {o: f(v).over(inside) for o, (f, v) in aggs.items()}
+    if not hot:
+        return cutdown.withColumns({o: F.coalesce(c, F.lit(0)) if o in (sums or {}) else c for o, c in own.items()}).drop("bucket")
+    totals = cutdown.groupBy(*keys, "bucket").agg(*[f(v).alias(f"__t_{o}") for o, (f, v) in aggs.items()])
+    before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*keys, "bucket", *[f(f"__t_{o}").over(before).alias(f"__c_{o}") for o, (f, _) in aggs.items()])
+    joined = cutdown.join(carry, [*keys, "bucket"], "left")
+    full = {o: F.coalesce(F.col(f"__c_{o}"), F.lit(0)) + F.coalesce(c, F.lit(0)) if o in (sums or {}) else F.greatest(F.col(f"__c_{o}"), c) for o, c in own.items()}
+    return joined.withColumns(full).drop("bucket", *[f"__c_{o}" for o in aggs])
+
 
 def _running(df: DataFrame, keys: list[str], bucket: str, order: list[Column], value: str, out: str, agg) -> DataFrame:
     totals = df.groupBy(*keys, bucket).agg(agg(value).alias("__t"))

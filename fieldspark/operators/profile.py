@@ -1,25 +1,38 @@
 """Column-level quality profile per load, and what changed between loads.
 
-All columns are unpivoted once and counted per (load, column, value) with a map-side partial
-aggregate; every figure comes from those counts. Numeric shifts use exact power sums (DECIMAL, so
-partial sums merge in any order to the same digits) and standardised differences between loads.
+One pass over the rows unpivots all columns and keeps, per (load, column), counts, ranges, violations and exact power
+sums of the numbers (orders 0 to 2). The sums are whole numbers in parts that cannot overflow, so partial sums merge
+in any order to the same digits and nothing near-unique is shuffled. Distinct values are counted in a second pass, by
+96 bits of hash (a count of n is short by one with a chance of about n^2 / 2^97). Shifts between loads are
+standardised differences of the means.
 
 Defined results
 - NULL is counted as a null; empty text is a value that violates the pattern.
-- a value is *readable* if, blanks at the ends aside, it is a whole number, optionally signed or with zero decimals.
-- no readable value: no range, no mean, no constant, no shift. A first load, or one whose number
+- text is *readable* if, blanks at the ends aside, it is a whole number of at most 38 digits, optionally signed or with zero decimals.
+- DOUBLE, FLOAT and DECIMAL values are numbers in billionths (rounded to the ninth decimal); NaN, the infinities and
+  numbers from 10^29 on are violations. Whole numbers and booleans (0 and 1) are exact.
+- times have a range (microseconds), but no sums. Other types are profiled as their text.
+- no number: no range, no mean, no constant, no shift. A first load, or one whose number
   minus one does not occur, has no shift.
 - empty table: no rows. Repeated rows count each. NULL load numbers form a load of their own without neighbours.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from fractions import Fraction
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldspark.functions.exprs import safe_div
+from fieldspark.operators.prefix import running
+from fieldspark.session import broadcast_if_small, cut
 
 READABLE = r"^[+-]?[0-9]+(\.0+)?$"
+PART = 10**9
+#: Decimals of the units in which DOUBLE, FLOAT and DECIMAL values are summed.
+DECIMALS = 9
 
 
 def readable(value: Column) -> Column:
@@ -28,10 +41,64 @@ def readable(value: Column) -> Column:
     return F.when(s.rlike(READABLE), F.regexp_replace(F.regexp_replace(s, r"\.0+$", ""), r"^\+", "").try_cast("decimal(38,0)"))
 
 
-def value_counts(df: DataFrame, load: str, columns: list[str]) -> DataFrame:
-    """load, col, value (text), n: the one pass over the data."""
-    each = F.array(*[F.struct(F.lit(c).alias("col"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns])
-    return df.select(F.col(load).alias("load"), F.inline(each)).groupBy("load", "col", "value").agg(F.count(F.lit(1)).alias("n"))
+# ------------------------------------------------------------------ one value
+def _family(kind: T.DataType) -> str:
+    if isinstance(kind, (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return "whole"
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return "time"
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return "double"
+    return "decimal" if isinstance(kind, T.DecimalType) else "text"
+
+
+def _decimals(df: DataFrame, columns: list[str]) -> list[int]:
+    return [DECIMALS if _family(df.schema[c].dataType) in ("double", "decimal") else 0 for c in columns]
+
+
+def unpivoted(df: DataFrame, load: str, columns: list[str]) -> DataFrame:
+    """load, ci (place in ``columns``), family, and the value as l (whole numbers, times), d (DOUBLE) or s (text, DECIMAL)."""
+    each = []
+    for i, c in enumerate(columns):
+        family, x = _family(df.schema[c].dataType), F.col(f"`{c}`")
+        boolean = isinstance(df.schema[c].dataType, T.BooleanType)
+        whole = F.unix_micros(x.cast("timestamp")) if family == "time" else (x.cast("int") if boolean else x).cast("bigint") if family == "whole" else F.lit(None).cast("bigint")
+        each.append(
+            F.struct(
+                F.lit(i).alias("ci"), F.lit(family).alias("family"), whole.alias("l"),
+                ((x + F.lit(0.0)).cast("double") if family == "double" else F.lit(None).cast("double")).alias("d"),  # one zero
+                (x.cast("string") if family in ("text", "decimal") else F.lit(None).cast("string")).alias("s"),
+            )
+        )
+    return df.select(F.col(load).alias("load"), F.inline(F.array(*each)))
+
+
+def numbered(long: DataFrame) -> DataFrame:
+    """Adds absent, u (units as BIGINT), w (units as DECIMAL(38,0) where they need more than 18 digits), v (DOUBLE)."""
+    number, f = readable(F.col("s")), F.col("family")
+    plain, digits = F.col("s").rlike("^-?[0-9]{1,18}$"), F.col("s").rlike("[0-9]")
+    exact = F.coalesce(F.col("d").try_cast(f"decimal(38,{DECIMALS})"), F.when(f == "decimal", F.col("s").try_cast(f"decimal(38,{DECIMALS})")))
+    units = F.replace(exact.cast("string"), F.lit("."), F.lit("")).try_cast("decimal(38,0)")
+    near = F.abs("d") < float(PART)
+    top = F.lit(PART * PART)
+    u = (
+        F.when((f == "whole") & (F.abs(F.try_add("l", F.lit(0))) < top), F.col("l"))
+        .when((f == "double") & near, F.round(F.col("d") * float(PART)).try_cast("bigint"))
+        .when((f == "text") & plain, F.col("s").try_cast("bigint"))
+        .when((f == "text") & digits, F.when(F.abs(number) < top, number.try_cast("bigint")))
+        .when(f == "decimal", F.when(F.abs(units) < top, units.try_cast("bigint")))
+    )
+    w = (
+        F.when((f == "whole") & ~(F.abs(F.try_add("l", F.lit(0))) < top), F.col("l").cast("decimal(38,0)"))
+        .when((f == "double") & ~near & ~F.isnan("d"), units)
+        .when((f == "text") & ~plain & F.col("s").rlike("[0-9]{19}"), F.when(F.abs(number) >= top, number))
+        .when(f == "decimal", F.when(F.abs(units) >= top, units))
+    )
+    absent = F.col("l").isNull() & F.col("d").isNull() & F.col("s").isNull()
+    n = long.withColumns({"absent": absent, "u": u, "w": w})
+    scale = F.when(f.isin("double", "decimal"), F.lit(float(PART))).otherwise(F.lit(1.0))
+    v = F.when(f == "time", F.col("l").cast("double")).when((f == "double") & (F.col("u").isNotNull() | F.col("w").isNotNull()), F.col("d")).otherwise(F.coalesce(F.col("u").cast("double"), F.col("w").cast("double")) / scale)
+    return n.withColumn("v", v)
 
 
 def _limbs(x: Column) -> tuple[list[Column], list[Column]]:
@@ -42,84 +109,143 @@ def _limbs(x: Column) -> tuple[list[Column], list[Column]]:
     return [F.when(x < 0, -p).otherwise(p) for p in parts], squares
 
 
-def _moments(s0, limbs, squares):
-    """Sums and moments of a column from the sums of its parts, in whole numbers of any size."""
-    if not s0:
-        return None, None, None, None
-    s1, s2 = (sum(int(v) * 10 ** (9 * i) for i, v in enumerate(p)) for p in (limbs, squares))
-    return float(s1), float(s2), float(s1) / s0, (float(max(s0 * s2 - s1 * s1, 0)) / (float(s0) * float(s0))) ** 0.5
+def _total(c: Column) -> Column:
+    return F.sum(c.cast("decimal(19,0)"))
+
+
+def _joined(values: list) -> int:
+    return sum(int(v or 0) * PART**i for i, v in enumerate(values))
+
+
+def _moments(n, parts, squares, wide_parts, wide_squares, decimals):
+    """(s1, s2 in units as text, s1, s2, mean, sd) from the sums of the parts, in whole numbers of any size."""
+    if not n:
+        return None
+    s1, s2 = _joined(parts) + _joined(wide_parts or []), _joined(squares) + _joined(wide_squares or [])
+    unit = 10**decimals
+    return str(s1), str(s2), s1 / unit, s2 / unit**2, s1 / (n * unit), (max(n * s2 - s1 * s1, 0) / (n * unit) ** 2) ** 0.5
+
+
+def column_stats(df: DataFrame, load: str, columns: list[str], patterns: dict[str, str] | None = None, ranges: dict[str, tuple[int, int]] | None = None) -> DataFrame:
+    """load, col, rows, nulls, violations, outside, low, high, s0, exact power sums, mean, sd: one row per load and column, written down."""
+    decimals = _decimals(df, columns)
+    long = numbered(unpivoted(df, load, columns))
+    by_column = lambda made: F.coalesce(*[F.when(F.col("ci") == columns.index(c), x) for c, x in made.items()], F.lit(None).cast("boolean")) if made else F.lit(None).cast("boolean")
+    text = F.coalesce("s", F.col("l").cast("string"), F.col("d").cast("string"))
+    fits = F.coalesce(by_column({c: text.rlike(p) for c, p in (patterns or {}).items()}), F.col("v").isNotNull())
+    beyond = by_column({c: ~F.col("v").between(lo, hi) for c, (lo, hi) in (ranges or {}).items()})
+    long = long.withColumns({"bad": ~F.col("absent") & ~fits, "outside": F.coalesce(beyond, F.lit(False))})
+    high = F.expr(f"u div {PART}")
+    low = F.col("u") - high * PART
+    upper = lambda c: F.when(high != 0, c)
+    stats = long.groupBy("load", "ci").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("absent").alias("nulls"), F.count_if("bad").alias("violations"), F.count_if("outside").alias("outside"),
+        F.min("v").alias("low"), F.max("v").alias("high"), F.count("u").alias("n_u"), F.count("w").alias("n_w"),
+        F.array(_total(low), _total(upper(high))).alias("parts"), F.array(_total(low * low), _total(upper(low * high * 2)), _total(upper(high * high))).alias("squares"),
+    )
+    stats = cut(stats)
+    if stats.where("n_w > 0").isEmpty():
+        stats = stats.withColumns({"wide_parts": F.lit(None).cast("array<decimal(29,0)>"), "wide_squares": F.lit(None).cast("array<decimal(29,0)>")})
+    else:  # numbers of 19 digits and more
+        parts, squares = _limbs(F.col("w"))
+        more = long.where("w is not null").groupBy("load", "ci").agg(F.array(*map(_total, parts)).alias("wide_parts"), F.array(*map(_total, squares)).alias("wide_squares"))
+        wide = more.select(F.col("load").alias("l"), F.col("ci").alias("c"), "wide_parts", "wide_squares")
+        stats = stats.join(wide, F.col("load").eqNullSafe(F.col("l")) & (F.col("ci") == F.col("c")), "left").drop("l", "c")
+    names, scales = F.array(*[F.lit(c) for c in columns]), F.array(*[F.lit(d) for d in decimals])
+    moments = F.udf(_moments, "s1_units string, s2_units string, s1 double, s2 double, mean double, sd double")
+    named = stats.select("*", F.get(names, F.col("ci")).alias("col"), F.get(scales, F.col("ci")).alias("decimals"), (F.col("n_u") + F.col("n_w")).alias("s0"))
+    out = named.withColumn("m", moments("s0", "parts", "squares", "wide_parts", "wide_squares", "decimals"))
+    return cut(out.select("load", "col", "ci", "decimals", "rows", "nulls", "violations", "outside", "low", "high", "s0", "m.*"))
+
+
+def distinct_counts(df: DataFrame, load: str, columns: list[str]) -> DataFrame:
+    """load, ci, distinct_values of the non-NULL values."""
+    long = unpivoted(df, load, columns).where("l is not null or d is not null or s is not null")
+    tag = F.shiftleft(F.col("ci").cast("bigint"), 32) + F.hash("l", "d", "s").cast("bigint") + F.lit(1 << 31)
+    values = long.select("load", tag.alias("tag"), F.xxhash64("l", "d", "s").alias("h")).groupBy("load", "tag", "h").agg(F.lit(1).alias("one"))
+    return values.groupBy("load", F.shiftright("tag", 32).cast("int").alias("ci")).agg(F.count(F.lit(1)).alias("distinct_values"))
+
+
+def _with_prior(stats: DataFrame, *columns: str) -> DataFrame:
+    """Adds ``<column>_p`` of the load numbered one lower."""
+    prior = stats.select((F.col("load") + 1).alias("load"), "col", *[F.col(c).alias(f"{c}_p") for c in columns])
+    return stats.join(prior, ["load", "col"], "left")
 
 
 def column_profile(df: DataFrame, load: str, columns: list[str], patterns: dict[str, str] | None = None) -> DataFrame:
     """One row per load and column: nulls, distinct values, violations, range, exact sums, change to the load before.
 
-    ``patterns``: a regular expression a column's values must match; default: readable as a whole number.
+    ``patterns``: a regular expression a column's values must match; default: being a number.
     """
-    vc = value_counts(df, load, columns).withColumn("x", readable(F.col("value")))
-    good = F.col("x").isNotNull()
-    for c, p in (patterns or {}).items():
-        good = F.when(F.col("col") == c, F.coalesce(F.col("value").rlike(p), F.lit(False))).otherwise(good)
-    n = F.col("n")
-    limbs, squares = _limbs(F.col("x"))
-    sums = lambda parts: F.array(*[F.coalesce(F.sum(p.cast("decimal(19,0)") * n.cast("decimal(18,0)")), F.lit(0)).cast("string") for p in parts])
-    stats = vc.withColumn("good", good).groupBy("load", "col").agg(
-        F.sum("n").alias("rows"),
-        F.sum(F.when(F.col("value").isNull(), n).otherwise(0)).alias("nulls"),
-        F.count("value").alias("distinct_values"),
-        F.sum(F.when(F.col("value").isNotNull() & ~F.col("good"), n).otherwise(0)).alias("violations"),
-        F.min("x").cast("double").alias("low"), F.max("x").cast("double").alias("high"),
-        F.sum(F.when(F.col("x").isNotNull(), n)).alias("s0"),
-        sums(limbs).alias("limbs"), sums(squares).alias("squares"),
-    )
-    stats = stats.withColumn("m", F.udf(_moments, "s1 double, s2 double, mean double, sd double")("s0", "limbs", "squares")).select("*", "m.*").drop("m", "limbs", "squares")
-    prior = stats.select((F.col("load") + 1).alias("load"), "col", F.col("mean").alias("mean_p"), F.col("sd").alias("sd_p"), F.col("nulls").alias("nulls_p"), F.col("rows").alias("rows_p"))
-    both = stats.join(prior, ["load", "col"], "left")
+    stats = column_stats(df, load, columns, patterns)
+    n = distinct_counts(df, load, columns).select(F.col("load").alias("l"), F.col("ci").alias("c"), "distinct_values")
+    both = _with_prior(stats, "mean", "sd", "nulls", "rows").join(n, F.col("load").eqNullSafe(F.col("l")) & (F.col("ci") == F.col("c")), "left")
     pooled = F.sqrt((F.col("sd") * F.col("sd") + F.col("sd_p") * F.col("sd_p")) / 2)
     return both.select(
-        "load", "col", "rows", "nulls", "distinct_values", "violations", "low", "high", "s0", "s1", "s2", "mean", "sd",
+        "load", "col", "rows", "nulls", F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"), "violations", "low", "high", "decimals", "s0", "s1_units", "s2_units", "s1", "s2", "mean", "sd",
         safe_div(F.col("mean") - F.col("mean_p"), pooled).alias("std_diff"),
         (safe_div("nulls", "rows") - safe_div("nulls_p", "rows_p")).alias("null_rate_diff"),
     )
 
 
-def load_issues(df: DataFrame, load: str, ranges: dict[str, tuple[int, int]], null_pct=30, pattern_pct=3, range_pct=2, shift=0.25) -> DataFrame:
-    """load, col, issue: load-column pairs beyond the limits (nulls, pattern, range, constant, shift).
+def _surely_moved(limit: str):
+    """Whether the power sums alone prove that cumulative shares differ by more than the limit.
 
-    All comparisons are between whole numbers or exact decimals, so limits are met exactly.
+    The area between two distribution functions is at least the difference of the means; it is at most the largest
+    difference of the functions times the range that both cover.
     """
-    vc = value_counts(df, load, list(ranges)).withColumn("x", readable(F.col("value")))
-    out = F.lit(False)
-    for c, (lo, hi) in ranges.items():
-        out = out | ((F.col("col") == c) & ~F.col("x").between(lo, hi))
-    n = F.col("n")
-    stats = vc.groupBy("load", "col").agg(
-        F.sum("n").alias("rows"),
-        F.sum(F.when(F.col("value").isNull(), n).otherwise(0)).alias("nulls"),
-        F.sum(F.when(F.col("value").isNotNull() & F.col("x").isNull(), n).otherwise(0)).alias("bad"),
-        F.sum(F.when(F.coalesce(out & F.col("x").isNotNull(), F.lit(False)), n).otherwise(0)).alias("outside"),
-        F.sum(F.when(F.col("x").isNotNull(), n).otherwise(0)).alias("good"),
-        F.min("x").alias("low"), F.max("x").alias("high"),
-    )
+    share = Fraction(limit)
 
-    # largest distance of the cumulative shares of a load and the one before
-    numbers = vc.where("x is not null").groupBy("load", "col", "x").agg(F.sum("n").alias("n"))
-    sides = numbers.select("load", "col", "x", F.col("n").alias("own"), F.lit(0).cast("bigint").alias("prior")).unionByName(
-        numbers.select((F.col("load") + 1).alias("load"), "col", "x", F.lit(0).cast("bigint").alias("own"), F.col("n").alias("prior"))
-    )
-    merged = sides.groupBy("load", "col", "x").agg(F.sum("own").alias("own"), F.sum("prior").alias("prior"))
-    upto = Window.partitionBy("load", "col").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("load", "col")
-    dec = lambda c: c.cast("decimal(19,0)")
-    a, b, na, nb = (dec(F.sum("own").over(upto)), dec(F.sum("prior").over(upto)), dec(F.sum("own").over(whole)), dec(F.sum("prior").over(whole)))
-    gap = merged.select("load", "col", (a * nb - b * na).alias("d"), (na * nb).alias("nn"))
-    moved = gap.groupBy("load", "col").agg(F.max((F.abs("d") > F.col("nn") * F.lit(str(shift)).cast("decimal(6,4)")) & (F.col("nn") > 0)).alias("moved"))
+    def proves(n, s1, n_p, s1_p, low, high, low_p, high_p, decimals):
+        if not n or not n_p:
+            return False
+        reach = Fraction(max(high, high_p)) - Fraction(min(low, low_p))
+        reach = (reach * Fraction(1_000_000_001, 1_000_000_000)) * 10**decimals  # low and high are DOUBLE
+        return abs(Fraction(int(s1), n) - Fraction(int(s1_p), n_p)) > share * reach and reach > 0
+
+    return F.udf(proves, "boolean")
 
+
+def shifted(df: DataFrame, load: str, columns: list[str], stats: DataFrame, limit: float) -> DataFrame:
+    """load, col of the pairs whose cumulative shares differ from the load before by more than ``limit`` at some number.
+
+    Power sums prove most shifts; what they leave open is compared exactly, by counts per number.
+    """
+    near = _with_prior(stats, "s0", "s1_units", "low", "high").where("s0 > 0 and s0_p > 0")
+    judged = cut(near.select("load", "col", "ci", _surely_moved(str(limit))("s0", "s1_units", "s0_p", "s1_units_p", "low", "high", "low_p", "high_p", "decimals").alias("sure")))
+    open_pairs = judged.where("not sure").select("load", "ci")
+    needed = broadcast_if_small(open_pairs.unionByName(open_pairs.withColumn("load", F.col("load") - 1)).distinct())
+    long = numbered(unpivoted(df, load, columns))
+    x = F.coalesce(F.col("u").cast("decimal(38,0)"), F.col("w"))
+    numbers = long.where("u is not null or w is not null").join(needed, ["load", "ci"], "left_semi").groupBy("load", "ci", x.alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    zero = F.lit(0).cast("bigint")
+    sides = numbers.select("load", "ci", "x", F.col("n").alias("own"), zero.alias("prior")).unionByName(numbers.select((F.col("load") + 1).alias("load"), "ci", "x", zero.alias("own"), F.col("n").alias("prior")))
+    merged = cut(sides.join(broadcast_if_small(open_pairs), ["load", "ci"], "left_semi").groupBy("load", "ci", "x").agg(F.sum("own").alias("own"), F.sum("prior").alias("prior")))
+    totals = merged.groupBy("load", "ci").agg(F.sum("own").alias("na"), F.sum("prior").alias("nb"))
+    upto = running(merged, ["load", "ci"], ["x"], sums={"a": "own", "b": "prior"}).join(totals, ["load", "ci"])
+    dec = lambda c: F.col(c).cast("decimal(19,0)")
+    gap = F.abs(dec("a") * dec("nb") - dec("b") * dec("na"))
+    beyond = upto.where((gap > dec("na") * dec("nb") * F.lit(str(limit)).cast("decimal(6,4)")) & (F.col("na") > 0) & (F.col("nb") > 0))
+    names = F.array(*[F.lit(c) for c in columns])
+    exact = beyond.select("load", "ci").distinct().select("load", F.get(names, F.col("ci")).alias("col"))
+    return judged.where("sure").select("load", "col").unionByName(exact)
+
+
+def load_issues(df: DataFrame, load: str, ranges: dict[str, tuple[int, int]], null_pct=30, pattern_pct=3, range_pct=2, shift=0.25) -> DataFrame:
+    """load, col, issue: load-column pairs beyond the limits (nulls, pattern, range, constant, shift), from the profile.
+
+    All comparisons are between whole numbers or exact decimals, so limits are met exactly. ``constant`` is a variance of
+    exactly 0 by the power sums.
+    """
+    columns = list(ranges)
+    stats = column_stats(df, load, columns, ranges=ranges)
+    moved = shifted(df, load, columns, stats, shift).withColumn("moved", F.lit(True))
     pct = lambda part, limit: F.col(part) * 100 > F.col("rows") * limit
     checks = {
         "nulls": pct("nulls", null_pct),
-        "pattern": pct("bad", pattern_pct),
+        "pattern": pct("violations", pattern_pct),
         "range": pct("outside", range_pct),
-        "constant": (F.col("good") > 0) & (F.col("low") == F.col("high")),
+        "constant": (F.col("s0") > 0) & (F.col("sd") == 0),
         "shift": F.coalesce("moved", F.lit(False)),
     }
     found = F.filter(F.array(*[F.when(c, F.lit(k)) for k, c in checks.items()]), lambda i: i.isNotNull())

@@ -11,7 +11,9 @@ from fieldspark.plans import problem_sql
 from fieldspark.session import table
 
 DOWN_RANGES = {"down": (1, 4), "distance": (1, 99)}
-PROFILED = ["down", "distance", "start_down", "start_distance", "yards_to_goal", "stat_yardage", "period", "game_play_number"]
+#: The columns of summaries_input as SQL reads them: whole numbers, decimals, times, texts that are numbers, other texts.
+_WHOLE = "play_id load_no game_id season week drive_id game_play_number period pos_team_id def_pos_team_id start_down start_distance yards_to_goal stat_yardage rush pass".split()
+_DECIMAL, _NUMBER_TEXT, _TEXT = ["epa", "wp_before"], ["down", "distance"], ["play_type", "play_text"]
 
 
 # ---------------------------------------------------------------- 1
@@ -56,9 +58,12 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_profile(spark: SparkSession, d: str) -> DataFrame:
-    p = profile.column_profile(table(spark, d, "summaries_input"), "load_no", PROFILED)
+    """Every column of the table; text other than down and distance must not be blank."""
+    rows = table(spark, d, "summaries_input")
+    text = {c: r"\S" for c, kind in rows.dtypes if kind == "string" and c not in DOWN_RANGES}
+    p = profile.column_profile(rows, "load_no", rows.columns, text)
     r = lambda c: F.round(c, 6).alias(c)
-    return p.select(F.col("load").alias("load_no"), "col", F.col("rows").alias("n_rows"), F.col("nulls").alias("n_nulls"), "distinct_values", "violations", "low", "high", "s1", "s2", r("mean"), r("sd"), r("std_diff"), r("null_rate_diff"))
+    return p.select(F.col("load").alias("load_no"), "col", F.col("rows").alias("n_rows"), F.col("nulls").alias("n_nulls"), "distinct_values", "violations", "low", "high", "decimals", "s1_units", "s2_units", r("mean"), r("sd"), r("std_diff"), r("null_rate_diff"))
 
 
 # ---------------------------------------------------------------- 5
@@ -203,13 +208,21 @@ union all select load_no, col, 'pattern' from stats where bad * 100 > n * 3
 union all select load_no, col, 'range' from stats where outside * 100 > n * 2
 union all select load_no, col, 'constant' from stats where dx = 1
 union all select load_no, col, 'shift' from shifted semi join stats using (load_no, col)""",
-    "p4_profile": "with vals as (" + " union all ".join(f"select load_no, '{c}' col, cast({c} as varchar) v from summaries_input" for c in PROFILED) + r"""),
-read as (select load_no, col, v, case when regexp_full_match(trim(v), '[+-]?[0-9]+([.]0+)?') then cast(regexp_replace(trim(v), '[.]0+$', '') as bigint) end x from vals),
-st as (select load_no, col, count(*) n_rows, count(*) filter (v is null) n_nulls, count(distinct v) distinct_values, count(*) filter (v is not null and x is null) violations,
-  cast(min(x) as double) low, cast(max(x) as double) high, cast(sum(x) as double) s1, cast(sum(x * x) as double) s2, sum(x) / count(x)::double mean, sqrt(greatest(0.0, (count(x)::hugeint * sum(x * x) - sum(x) * sum(x))::double / (count(x)::double * count(x)))) sd from read group by all)
-select a.load_no, a.col, a.n_rows, a.n_nulls, a.distinct_values, a.violations, a.low, a.high, a.s1, a.s2, round(a.mean, 6) mean, round(a.sd, 6) sd,
-  round((a.mean - b.mean) / nullif(sqrt((a.sd * a.sd + b.sd * b.sd) / 2), 0), 6) std_diff, round(a.n_nulls / a.n_rows::double - b.n_nulls / b.n_rows::double, 6) null_rate_diff
-from st a left join st b on b.load_no = a.load_no - 1 and b.col = a.col""",
+    "p4_profile": "with vals as ("
+    + " union all ".join(
+        [f"select load_no, '{c}' col, hash({c}) h, {c} is null z, true fits, cast(cast({c} as bigint) as hugeint) u, cast({c} as double) v, 0 decimals, true summed from summaries_input" for c in _WHOLE]
+        + [f"select load_no, '{c}', hash({c}), {c} is null, not isnan({c}) and not isinf({c}), case when not isnan({c}) and not isinf({c}) then cast(round({c} * 1e9) as hugeint) end, case when not isnan({c}) and not isinf({c}) then {c} end, 9, true from summaries_input" for c in _DECIMAL]
+        + ["select load_no, 'loaded_at', hash(loaded_at), loaded_at is null, true, null, cast(epoch_us(loaded_at) as double), 0, false from summaries_input"]
+        + [f"select load_no, '{c}', hash({c}), {c} is null, x is not null, x, cast(x as double), 0, true from (select *, case when regexp_full_match(trim({c}), '[+-]?[0-9]+([.]0+)?') then cast(regexp_replace(trim({c}), '[.]0+$', '') as bigint) end x from summaries_input)" for c in _NUMBER_TEXT]
+        + [f"select load_no, '{c}', hash({c}), {c} is null, regexp_matches({c}, '[^ ]'), null, null, 0, true from summaries_input" for c in _TEXT]
+    )
+    + """),
+st as (select load_no, col, decimals, count(*) n_rows, count(*) filter (z) n_nulls, count(distinct h) filter (not z) distinct_values, count(*) filter (not z and not coalesce(fits, false)) violations, min(v) low, max(v) high,
+  count(u) n, sum(u) a, sum(u * u) b from vals group by all),
+m as (select *, (a::double / nullif(n, 0)) / power(10, decimals) mean, sqrt(greatest(n * b - a * a, 0)::double / nullif(n::double * n, 0)) / power(10, decimals) sd from st)
+select x.load_no, x.col, x.n_rows, x.n_nulls, x.distinct_values, x.violations, x.low, x.high, cast(x.decimals as int) decimals, cast(x.a as varchar) s1_units, cast(x.b as varchar) s2_units, round(x.mean, 6) mean, round(x.sd, 6) sd,
+  round((x.mean - y.mean) / nullif(sqrt((x.sd * x.sd + y.sd * y.sd) / 2), 0), 6) std_diff, round(x.n_nulls / x.n_rows::double - y.n_nulls / y.n_rows::double, 6) null_rate_diff
+from m x left join m y on y.load_no = x.load_no - 1 and y.col = x.col""",
     "p5_found": "with " + _KNOWN + "select game_id, team_id, row_id from got",
     "p5_features": "with " + _KNOWN + "select g.game_id, g.team_id, g.season, g.row_id, n.through_week, n.epaplay_off, n.epaplay_def, n.talent_composite, n.blue_chip_ratio, n.off_returning, n.overall_returning from got g join cfb_higher_models n using (row_id)",
     "p6_found": problem_sql.NESTED,

@@ -169,6 +169,36 @@ def test_profile_limits_are_exact(spark):
     assert p[3, "distance"].sd == 0.0 and p[3, "distance"].std_diff is None
 
 
+def test_profile_of_every_type(spark):
+    import decimal
+    import math
+
+    d = decimal.Decimal
+    rows = [(1, 1.5, d("2.25"), True, T0, "a", 5), (1, 2.25, d("-12345678901.5"), False, T0 + dt.timedelta(days=1), "b", 10**18), (1, -0.0, None, None, None, " ", -(10**18)), (1, float("nan"), None, None, None, None, 7), (1, 0.0, None, None, None, None, 7), (1, 3e12, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "load int, x double, m decimal(20,4), b boolean, t timestamp_ntz, s string, col bigint")
+    p = {r.col: r for r in profile.column_profile(df, "load", df.columns, {"s": r"\S"}).collect()}
+    x = p["x"]
+    assert (x.nulls, x.violations, x.s0, x.low, x.high, x.distinct_values, x.decimals) == (0, 1, 5, 0.0, 3e12, 5, 9) and x.s1 == 3e12 + 3.75
+    assert x.s2 == pytest.approx(9e24) and x.s2_units == str((3 * 10**21) ** 2 + 1500000000**2 + 2250000000**2)
+    assert (p["m"].s1_units, p["m"].nulls, p["m"].violations) == ("-12345678899250000000", 4, 0) and p["m"].mean == pytest.approx(-6172839449.625)
+    assert (p["b"].s0, p["b"].mean, p["t"].s0, p["t"].high - p["t"].low, p["s"].violations, p["s"].distinct_values) == (2, 0.5, 0, 86400e6, 1, 3)
+    assert (p["col"].s1_units, p["col"].s2_units, p["col"].distinct_values, p["load"].sd) == ("19", str(2 * 10**36 + 25 + 98), 4, 0.0) and math.isnan(rows[3][1])
+
+
+def test_running_values_of_a_large_key(spark):
+    rows = [(k, i // 2, i, (i * 7) % 5 if i % 4 else None) for k in ["a"] * 3 + ["b"] for i in range(30)]
+    df = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "k string, o int, i int, v int, n int")
+    want = {}
+    for k in "ab":
+        mine = sorted((o, n, v) for n, (g, o, _, v) in enumerate(rows) if g == k)
+        for p, (_, n, _) in enumerate(mine):
+            seen = [v for *_, v in mine[: p + 1] if v is not None]
+            want[n] = (sum(seen), max(seen, default=None))
+    for limit in (1000, 20, 3):
+        got = prefix.running(df, ["k"], ["o", "n"], sums={"s": "v"}, maxima={"m": "v"}, rows=limit)
+        assert {r.n: (r.s, r.m) for r in got.collect()} == want and set(got.columns) == {*df.columns, "s", "m"}
+
+
 # ---------------------------------------------------------------- 5
 @pytest.mark.parametrize("group_rows", [10**6, 40, 7])
 def test_known_at_against_plain_python(spark, group_rows):
