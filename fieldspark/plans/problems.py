@@ -62,7 +62,7 @@ def p4_profile(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "summaries_input")
     text = {c: r"\S" for c, kind in rows.dtypes if kind == "string" and c not in DOWN_RANGES}
     p = profile.column_profile(rows, "load_no", rows.columns, text)
-    r = lambda c: F.round(c, 6).alias(c)
+    r = lambda c: F.when(F.abs(c) < 1e6, F.round(c, 6)).otherwise(F.round(c, 2)).alias(c)  # noqa: E731 (a DOUBLE has no more digits)
     return p.select(F.col("load").alias("load_no"), "col", F.col("rows").alias("n_rows"), F.col("nulls").alias("n_nulls"), "distinct_values", "violations", "low", "high", "decimals", "s1_units", "s2_units", r("mean"), r("sd"), r("std_diff"), r("null_rate_diff"))
 
 
@@ -220,7 +220,7 @@ union all select load_no, col, 'shift' from shifted semi join stats using (load_
 st as (select load_no, col, decimals, count(*) n_rows, count(*) filter (z) n_nulls, count(distinct h) filter (not z) distinct_values, count(*) filter (not z and not coalesce(fits, false)) violations, min(v) low, max(v) high,
   count(u) n, sum(u) a, sum(u * u) b from vals group by all),
 m as (select *, (a::double / nullif(n, 0)) / power(10, decimals) mean, sqrt(greatest(n * b - a * a, 0)::double / nullif(n::double * n, 0)) / power(10, decimals) sd from st)
-select x.load_no, x.col, x.n_rows, x.n_nulls, x.distinct_values, x.violations, x.low, x.high, cast(x.decimals as int) decimals, cast(x.a as varchar) s1_units, cast(x.b as varchar) s2_units, round(x.mean, 6) mean, round(x.sd, 6) sd,
+select x.load_no, x.col, x.n_rows, x.n_nulls, x.distinct_values, x.violations, x.low, x.high, cast(x.decimals as int) decimals, cast(x.a as varchar) s1_units, cast(x.b as varchar) s2_units, case when abs(x.mean) < 1e6 then round(x.mean, 6) else round(x.mean, 2) end mean, case when abs(x.sd) < 1e6 then round(x.sd, 6) else round(x.sd, 2) end sd,
   round((x.mean - y.mean) / nullif(sqrt((x.sd * x.sd + y.sd * y.sd) / 2), 0), 6) std_diff, round(x.n_nulls / x.n_rows::double - y.n_nulls / y.n_rows::double, 6) null_rate_diff
 from m x left join m y on y.load_no = x.load_no - 1 and y.col = x.col""",
     "p5_found": "with " + _KNOWN + "select game_id, team_id, row_id from got",
