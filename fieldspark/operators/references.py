@@ -1,9 +1,9 @@
 """References to records that do not exist (yet, or any more).
 
 A Bloom filter of the parent keys, built by aggregation and carried in the plan as one literal, proves
-most orphans without a shuffle. Only filter-positive references go through the exact join. Whether
-a parent version covers the reference's time is a running maximum over (key, month) buckets, so
-neither a hot parent key nor a hot reference key meets in one task.
+most orphans where they are read. Only filter-positive references are verified, each (key, time) once: whether a parent
+version covers the time is a running maximum, cut into ranges of counted rows where a key is large. The few pairs that
+fail meet the references again in one join, so good references are never shuffled as long as the failing pairs are few.
 
 Defined results
 - reference NULL, empty or blank: no reference. Text that reads as no whole number names no parent: ``missing``.
@@ -15,22 +15,25 @@ Defined results
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.operators.prefix import running_max
+from fieldspark.operators.prefix import running
+from fieldspark.session import broadcast_if_small, cut
 
 HASHES = 4
 MIN_BITS, MAX_BITS = 1 << 16, 1 << 26  # at most 8 MB
 
 
 def _positions(key: Column, bits: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(bits)) for seed in range(HASHES)]
+    """Bits of a key, from the halves of one hash; ``bits`` is a power of 2."""
+    h = F.xxhash64(key)
+    low, high = h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32).bitwiseOR(F.lit(1))
+    return [(low + high * i).bitwiseAND(F.lit(bits - 1)) for i in range(HASHES)]
 
 
-def bloom_filter(keys: DataFrame, key: str, bits: int | None = None) -> bytes:
-    """The filter's bits; at most MAX_BITS / 8 bytes, whatever the number of keys.
+def bloom_filter(keys: DataFrame, key: str, bits: int | None = None) -> list[int]:
+    """The filter in words of 64 bits; at most MAX_BITS / 64 words, whatever the number of keys.
 
     The size follows the number of keys (12 bits each) up to MAX_BITS; beyond that the filter only
     lets more references through to the exact join, the result stays the same.
@@ -42,51 +45,61 @@ def bloom_filter(keys: DataFrame, key: str, bits: int | None = None) -> bytes:
             bits *= 2
     pos = keys.where(F.col(key).isNotNull()).select(F.explode(F.array(*_positions(F.col(key), bits))).alias("p"))
     words = pos.groupBy(F.shiftright("p", 6).alias("id")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("w"))
-    every = keys.sparkSession.range(0, bits // 64, 1, 1).join(words, "id", "left")
-    one = every.agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("w", F.lit(0)).alias("w")))).alias("ws"))
-    return np.array(one.select(F.transform("ws", lambda x: x["w"])).first()[0], dtype="<i8").tobytes()
+    out = [0] * (bits // 64)
+    for r in words.toPandas().itertuples():
+        out[r.id] = int(r.w)
+    return out
 
 
-def might_contain(filt: bytes, key: Column) -> Column:
-    """False only if the key is surely not among the filter's keys. The filter is one literal of the plan."""
-    byte = lambda p: F.conv(F.hex(F.substring(F.lit(bytearray(filt)), F.shiftright(p, 3).cast("int") + 1, 1)), 16, 10).cast("int")
-    bit = lambda p: F.call_function("shiftright", byte(p), p.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1))
-    return F.forall(F.array(*_positions(key, len(filt) * 8)), lambda p: bit(p) == 1)
+def might_contain(words: list[int], key: Column) -> Column:
+    """False only if the key is surely not among the filter's keys; a few shifts per bit inside generated code.
 
+    The words are one text literal, which the optimizer folds into one array literal.
+    """
+    filt = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")
+    out = F.lit(True)
+    for p in _positions(key, len(words) * 64):
+        word = F.get(filt, F.shiftright(p, 6).cast("int"))
+        out = out & (F.call_function("shiftright", word, p.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1)
+    return out
+
+
+_FIRST, _LAST = "timestamp_ntz'0001-01-01 00:00:00'", "timestamp_ntz'9999-12-31 23:59:59.999999'"
 
-def orphans(refs: DataFrame, parents: DataFrame, bits: int | None = None) -> DataFrame:
+
+def failing(pairs: DataFrame, parents: DataFrame, bucket_rows: int | None = None) -> DataFrame:
+    """key, at, kind of the (key, at) pairs that no parent version covers; parents without NULL keys."""
+    until = F.when(F.expr("stop is null or start is null or stop > start"), F.coalesce("stop", F.expr(_LAST))).otherwise(F.expr(_FIRST))
+    versions = parents.groupBy("key", F.coalesce("start", F.expr(_FIRST)).alias("time")).agg(F.max(until).alias("stop"))
+    events = versions.select("key", "time", F.lit(0).alias("is_ref"), "stop", F.lit(None).cast("timestamp_ntz").alias("at")).unionByName(
+        pairs.select("key", F.coalesce("at", F.expr(_LAST)).alias("time"), F.lit(1).alias("is_ref"), F.lit(None).cast("timestamp_ntz").alias("stop"), "at")
+    )
+    # the latest end of all versions begun so far; NULL: none has begun
+    told = running(cut(events), ["key"], ["time", "is_ref"], maxima={"until": "stop"}, rows=bucket_rows).where("is_ref = 1")
+    bad = told.where(~F.coalesce(F.col("until") > F.col("at"), F.lit(False)))
+    known = broadcast_if_small(parents.select("key", F.lit(True).alias("known")).distinct())
+    kind = F.when(F.col("until").isNotNull(), "deleted").when(F.col("known"), "late").otherwise("missing")
+    return bad.join(known, "key", "left").select("key", "at", kind.alias("kind"))
+
+
+def orphans(refs: DataFrame, parents: DataFrame, bits: int | None = None, bucket_rows: int | None = None) -> DataFrame:
     """Orphan references with their kind.
 
     refs: key (BIGINT, NULL if the text names no parent), at (time) and any further columns; rows
     that are no reference must be left out before. parents: key, start, stop. Result: refs' columns
     and ``kind``.
     """
-    parents = parents.where("key is not null")
-    filt = bloom_filter(parents, "key", bits)
-    marked = refs.withColumn("maybe", F.col("key").isNotNull() & might_contain(filt, F.col("key")))
-    sure = marked.where("not maybe").drop("maybe").withColumn("kind", F.lit("missing"))
-
-    known = parents.groupBy("key").agg(F.min(F.struct(F.col("start").isNotNull().alias("bounded"), "start"))["start"].alias("begins"))
-    rest = marked.where("maybe").drop("maybe").join(known.withColumn("found", F.lit(True)), "key", "left")
-
-    # running maximum of the stops of all versions begun so far
-    start = F.coalesce("start", F.lit("0001-01-01").cast("timestamp_ntz"))
-    versions = (
-        parents.where("stop is null or start is null or stop > start")
-        .groupBy("key", start.alias("at"))
-        .agg(F.max(F.coalesce("stop", F.lit("9999-12-31").cast("timestamp_ntz"))).alias("stop"))
-    )
-    ref = F.struct(*refs.columns, F.coalesce("found", F.lit(False)).alias("found"), "begins")
-    nothing = F.lit(None).cast(rest.select(ref.alias("r")).schema["r"].dataType)
-    events = versions.select("key", "at", "stop", F.lit(0).alias("is_ref"), nothing.alias("r")).unionByName(
-        rest.select("key", "at", F.lit(None).cast("timestamp_ntz").alias("stop"), F.lit(1).alias("is_ref"), ref.alias("r"))
-    )
-    events = events.withColumn("bucket", F.date_format("at", "yyyyMM"))
-    covered = running_max(events, ["key"], "bucket", [F.col("at"), F.col("is_ref")], "stop", "until").where("is_ref = 1")
-    kind = F.when(~F.col("r.found"), "missing").when(F.col("at") < F.col("r.begins"), "late").when(~F.coalesce(F.col("until") > F.col("at"), F.lit(False)), "deleted")
-    checked = covered.select("r.*", kind.alias("kind")).where("kind is not null")
-    out = [*refs.columns, "kind"]
-    return sure.select(*out).unionByName(checked.select(*out))
+    parents = parents.where("key is not null").select("key", "start", "stop")
+    words = bloom_filter(parents, "key", bits)
+    # a key is asked for only if the filter lets it through; NULL: surely missing
+    asked = F.when(F.col("key").isNotNull() & might_contain(words, F.col("key")), F.col("key"))
+    routed = refs.withColumn("__ask", asked)
+    pairs = routed.where("__ask is not null").select(F.col("__ask").alias("key"), "at").distinct()
+    bad = broadcast_if_small(failing(pairs, parents, bucket_rows).select(F.col("key").alias("__key"), F.col("at").alias("__at"), F.col("kind").alias("__kind")))
+    # rows the filter proved carry no key and spread over the tasks by their time
+    joined = routed.join(bad, (F.col("__ask") == F.col("__key")) & F.col("at").eqNullSafe(F.col("__at")), "left")
+    kind = F.when(F.col("__ask").isNull(), F.lit("missing")).otherwise(F.col("__kind"))
+    return joined.select(*refs.columns, kind.alias("kind")).where("kind is not null")
 
 
 def orphan_report(found: DataFrame, src: str = "src", period: str = "period") -> DataFrame:

@@ -121,8 +121,8 @@ def test_orphans_against_plain_python(spark):
         return "late" if at is not None and all(a is not None and a > at for _, a, _ in rows) else "deleted"
 
     want = sorted((s, i, kind(k, at)) for s, i, k, at, _ in refs if kind(k, at))
-    for bits in (None, 1 << 16, 64):  # a tiny filter lets all through, the result stays
-        got = references.orphans(r, p, bits)
+    for bits, rows in ((None, None), (1 << 16, 40), (64, 7)):  # a tiny filter lets all through, large keys are cut; the result stays
+        got = references.orphans(r, p, bits, rows)
         assert sorted((x.src, x.row_id, x.kind) for x in got.collect()) == want
     assert references.orphans(r, p.limit(0)).where("kind <> 'missing'").count() == 0
     assert references.orphans(r.limit(0), p).count() == 0
