@@ -15,6 +15,8 @@ Defined results
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,17 @@ HASHES = 4
 MIN_BITS, MAX_BITS = 1 << 16, 1 << 26  # at most 8 MB
 
 
+def long_array(values: list[int]) -> Column:
+    """ARRAY<BIGINT> as one packed literal of the plan, 8 bytes a value (``lit`` of a list would be one expression per value)."""
+    sc = SparkContext._active_spark_context
+    packed = sc._gateway.new_array(sc._jvm.long, len(values))
+    sc._jvm.java.nio.ByteBuffer.wrap(np.array(values, dtype=">i8").tobytes()).asLongBuffer().get(packed)
+    sql = sc._jvm.org.apache.spark.sql
+    kind = sql.types.ArrayType(sql.types.DataType.fromDDL("bigint"), False)
+    literal = sql.catalyst.expressions.Literal(sql.catalyst.expressions.UnsafeArrayData.fromPrimitiveArray(packed), kind)
+    return Column(sql.classic.ExpressionUtils.column(literal))
+
+
 def _positions(key: Column, bits: int) -> list[Column]:
     """Bits of a key, from the halves of one hash; ``bits`` is a power of 2."""
     h = F.xxhash64(key)
@@ -52,11 +65,8 @@ def bloom_filter(keys: DataFrame, key: str, bits: int | None = None) -> list[int
 
 
 def might_contain(words: list[int], key: Column) -> Column:
-    """False only if the key is surely not among the filter's keys; a few shifts per bit inside generated code.
-
-    The words are one text literal, which the optimizer folds into one array literal.
-    """
-    filt = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")
+    """False only if the key is surely not among the filter's keys; a few shifts per bit inside generated code."""
+    filt = long_array(words)
     out = F.lit(True)
     for p in _positions(key, len(words) * 64):
         word = F.get(filt, F.shiftright(p, 6).cast("int"))
@@ -91,9 +101,11 @@ def orphans(refs: DataFrame, parents: DataFrame, bits: int | None = None, bucket
     """
     parents = parents.where("key is not null").select("key", "start", "stop")
     words = bloom_filter(parents, "key", bits)
-    # a key is asked for only if the filter lets it through; NULL: surely missing
-    asked = F.when(F.col("key").isNotNull() & might_contain(words, F.col("key")), F.col("key"))
-    routed = refs.withColumn("__ask", asked)
+    # a key is asked for only if the filter lets it through; NULL: surely missing. The generator keeps the expression that
+    # reads the key from being copied into every probe of the filter.
+    read = refs.withColumn("__key", F.explode(F.array("key")))
+    asked = F.when(F.col("__key").isNotNull() & might_contain(words, F.col("__key")), F.col("__key"))
+    routed = read.withColumn("__ask", asked).drop("__key")
     pairs = routed.where("__ask is not null").select(F.col("__ask").alias("key"), "at").distinct()
     bad = broadcast_if_small(failing(pairs, parents, bucket_rows).select(F.col("key").alias("__key"), F.col("at").alias("__at"), F.col("kind").alias("__kind")))
     # rows the filter proved carry no key and spread over the tasks by their time
