@@ -156,6 +156,26 @@ def test_mix_every_stretch_holds_the_shares(spark):
         assert sum(s == "a" for _, s in slots[a : a + 64]) == pytest.approx(16, abs=3)
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_shares_are_reached_to_half_a_document(spark, data, sf):
+    folder = os.path.join(os.path.dirname(data), sf)
+    rows = queries.p9_shares(spark, folder).collect()
+    for r in rows:
+        assert abs(r.drawn_tokens - r.quota_tokens) <= r.largest_doc / 2 + 1
+        assert r.max_repeats is None or r.most_used <= r.max_repeats
+    assert sum(r.drawn_tokens > 0 for r in rows) > 15
+
+
+def test_slots_do_not_depend_on_the_smallest_source(spark):
+    docs = [("a", 1000)] * 3000 + [("b", 1)]
+    d = spark.createDataFrame([(i, s, t) for i, (s, t) in enumerate(docs)], "doc_id bigint, source string, tokens bigint")
+    m = spark.createDataFrame([("m", "a", 0.999999, None), ("m", "b", 0.000001, None)], "mix_id string, source string, target_share double, max_repeats int")
+    draws, planned = mix.mix(d, m)
+    assert planned.agg(F.max("slots")).first()[0] == -(-3_000_003 // mix.SLOT_TOKENS)
+    got = {r.source: r for r in mix.share_report(mix.drawn_documents(draws), planned).collect()}
+    assert got["a"].drawn_tokens == 3_000_000 and got["b"].drawn_tokens == 3
+
+
 def test_mix_total_and_empty(spark):
     _, rep = mixing(spark, [("a", 10)] * 1000, [("m", "a", 1.0, 2)], total_tokens=5000)
     assert rep["m", "a"].drawn_tokens == pytest.approx(5000, rel=0.05)
