@@ -1,15 +1,18 @@
 """Evaluation passages inside a training corpus.
 
-A passage is ``words`` consecutive words, and every item and every document is seen as its windows of
-that size. Windows are compared by 64-bit SimHash fingerprints: cut into radius + 1 blocks, two
-fingerprints within the radius agree in at least one block, so looking up each block finds every
-window within the radius. Candidates are verified by the exact weighted Jaccard similarity of their
-five-word shingles (weights: rarity among the items' shingles), and each verified window tells
-whether its words are the item's words exactly.
+An item is looked for in two sizes of window: windows of its own size, for copies of the whole item with some words
+changed, and windows of ``words`` words, the shortest passage to report, for parts of it. All windows are compared by
+64-bit SimHash fingerprints. Cut into blocks of bits, two fingerprints within the radius must nearly agree in at least
+one block (exactly, with one block more than the radius; up to one bit, with half as many), so looking up each block
+finds every window within the radius. Candidates are verified by the exact weighted Jaccard similarity of their
+five-word shingles (weights: rarity among all items' shingles; a shingle the item lacks weighs as much as the rarest),
+and each verified window tells whether ``words`` consecutive words of the item stand in it unchanged.
 
-The items are the query set; the corpus is never shuffled. The items' fingerprints are shipped in
-blocks of at most BLOCK_WINDOWS windows, one pass over the corpus per block. Windows of the size of a
-whole item would miss passages that occur in part, hence the size of the shortest passage to report.
+Windows of an item's size come in sizes that grow by GRID; an item takes the largest that fits and is looked for by its
+beginning and by its end, and verified over its whole length.
+
+The items are the query set; the corpus is never shuffled. The items are shipped in blocks of about BLOCK_WORDS words, one
+pass over the corpus per block, whose finds are written down before the next one begins. A worker indexes a block once.
 
 Defined results
 - a word is a run of letters or digits; case, punctuation, markup, spacing, invisible characters and
@@ -24,6 +27,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+import uuid
 from functools import lru_cache
 
 import numpy as np
@@ -31,16 +35,21 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldspark.session import cut
+
 WORDS = 12
 SHINGLE = 5
 RADIUS = 2
 SIMILARITY = 0.8
-#: Windows of items per pass over the corpus: about 16 MB shipped to each worker.
-BLOCK_WINDOWS = 250_000
+#: Radius of item-sized windows: the shingle similarity allows about one changed word in 50, some 4 of 64 bits.
+ITEM_RADIUS = 7
+GRID = 1.25
+#: Words of items per pass over the corpus: a few MB shipped to each worker.
+BLOCK_WORDS = 250_000
 CHUNK_BYTES = 2_000_000
 
 _ENTITY = re.compile(r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});")
-_TAG = re.compile(r"</?[A-Za-z!][^<>]{0,300}>")
+_TAG = re.compile(r"</?[A-Za-z!][^<>]*>")
 _MARKS = re.compile(r"[<&]")
 
 
@@ -130,49 +139,68 @@ def window_simhash(words: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _blocks(radius: int) -> list[tuple[np.uint64, np.uint64]]:
-    """Shift and mask of each of radius + 1 nearly equal blocks of 64 bits."""
-    cuts = np.linspace(0, 64, radius + 2).astype(int)
+def grid_size(n: int) -> int:
+    """The largest window size of the grid that an item of n words holds; 0 if it is shorter than a passage."""
+    size, step = 0, float(WORDS)
+    while int(step) <= n:
+        size, step = int(step), step * GRID
+    return size
+
+
+def sized_simhashes(words: np.ndarray, sizes: list[int]) -> dict[int, np.ndarray]:
+    """The SimHash of every window, for several sizes, from one table of running sums (modulo 2^16, as no window is longer)."""
+    out = {z: np.empty(max(0, len(words) - z + 1), dtype=np.uint64) for z in sizes}
+    step, most = 1 << 14, max(sizes, default=0)
+    for a in range(0, len(words), step):
+        part = words[a : a + step + most - 1]
+        sums = np.zeros((len(part) + 1, 64), dtype=np.uint16)
+        np.cumsum(np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1), axis=0, dtype=np.uint16, out=sums[1:])
+        for z, prints in out.items():
+            m = min(step, len(part) - z + 1, len(prints) - a)
+            if m > 0:
+                prints[a : a + m] = np.packbits((sums[z : z + m] - sums[:m]) > z // 2, axis=1).view(np.uint64).ravel()
+    return out
+
+
+def shingle_hashes(words: np.ndarray) -> np.ndarray:
+    """64-bit hash of every five-word shingle."""
+    n = len(words) - SHINGLE + 1
+    h = np.zeros(max(0, n), dtype=np.uint64)
+    for k in range(SHINGLE):
+        h = _mix(h * np.uint64(0x9E3779B97F4A7C15) + words[k : k + len(h)])
+    return h
+
+
+def _blocks(count: int) -> list[tuple[np.uint64, np.uint64]]:
+    """Shift and mask of each of ``count`` nearly equal blocks of 64 bits."""
+    cuts = np.linspace(0, 64, count + 1).astype(int)
     return [(np.uint64(a), np.uint64((1 << (b - a)) - 1)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-class Items:
-    """The windows of a block of items, with their fingerprints sorted by each block of bits."""
+class Prints:
+    """Fingerprints, found again within a radius by blocks of bits: ``slack`` bits may differ in the block that is looked up.
 
-    def __init__(self, ids: list[int], texts: list[str], size: int, radius: int):
-        self.size, self.radius = size, radius
-        words, hashes, item, pos = [], [], [], []
-        for k, t in enumerate(texts):
-            data = plain(t).encode("utf-8", "ignore")
-            h, s, e = word_hashes(data)
-            low = data.lower()
-            words.append([low[a:b] for a, b in zip(s.tolist(), e.tolist(), strict=True)])
-            hashes.append(h)
-            n = max(0, len(h) - size + 1)
-            item += [k] * n
-            pos += range(n)
-        self.ids, self.words = ids, words
-        self.item, self.pos = np.array(item, dtype=np.int64), np.array(pos, dtype=np.int64)
-        self.prints = np.concatenate([window_simhash(h, size) for h in hashes] or [np.zeros(0, dtype=np.uint64)])
-        self.sorted = []
-        for shift, mask in _blocks(radius):
-            key = (self.prints >> shift) & mask
+    With (radius + 1) / (slack + 1) blocks, rounded up, some block of two fingerprints within the radius differs by at most ``slack`` bits.
+    """
+
+    def __init__(self, prints: np.ndarray, radius: int, slack: int = 0):
+        self.prints, self.radius, self.sorted = prints, radius, []
+        for shift, mask in _blocks(-(-(radius + 1) // (slack + 1))):
+            key = (prints >> shift) & mask
+            own = np.arange(len(prints))
+            if slack:
+                flips = [np.uint64(0), *[np.uint64(1 << i) for i in range(int(mask).bit_length())]]
+                own, key = np.tile(own, len(flips)), np.concatenate([key ^ f for f in flips])
             order = np.argsort(key, kind="stable")
-            keys = key[order]
             # a bitmap over the block's low bits rejects most windows before the binary search
             bitmap = np.zeros(1 << 20, dtype=bool)
-            bitmap[keys & np.uint64((1 << 20) - 1)] = True
-            self.sorted.append((shift, mask, keys, order, bitmap))
-        seen: dict[tuple, int] = {}
-        for w in words:
-            for g in {tuple(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)}:
-                seen[g] = seen.get(g, 0) + 1
-        self.count, self.n = seen, max(1, len(words))
+            bitmap[key & np.uint64((1 << 20) - 1)] = True
+            self.sorted.append((shift, mask, key[order], own[order], bitmap))
 
     def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window of the text, window of an item) pairs within the radius: all of them."""
+        """(place in ``prints``, place in the own fingerprints) of the pairs within the radius: all of them."""
         left, right = [], []
-        for shift, mask, keys, order, bitmap in self.sorted:
+        for shift, mask, keys, own, bitmap in self.sorted:
             key = (prints >> shift) & mask
             at = np.flatnonzero(bitmap[key & np.uint64((1 << 20) - 1)])
             if not len(at):
@@ -180,7 +208,7 @@ class Items:
             lo, hi = np.searchsorted(keys, key[at], "left"), np.searchsorted(keys, key[at], "right")
             n = hi - lo
             text_w = np.repeat(at, n)
-            item_w = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
+            item_w = own[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
             near = np.bitwise_count(prints[text_w] ^ self.prints[item_w]) <= self.radius
             left.append(text_w[near])
             right.append(item_w[near])
@@ -189,60 +217,164 @@ class Items:
         pairs = np.unique(np.concatenate(left) * len(self.prints) + np.concatenate(right))
         return pairs // len(self.prints), pairs % len(self.prints)
 
-    def weight(self, shingle: tuple) -> float:
-        return float(np.log1p(self.n / self.count.get(shingle, 1)))
 
-    def similarity(self, a: list[bytes], b: list[bytes]) -> float:
-        """Weighted Jaccard similarity of the windows' shingles."""
-        x = {tuple(a[i : i + SHINGLE]) for i in range(len(a) - SHINGLE + 1)}
-        y = {tuple(b[i : i + SHINGLE]) for i in range(len(b) - SHINGLE + 1)}
-        union = sum(map(self.weight, sorted(x | y)))
-        return sum(map(self.weight, sorted(x & y))) / union if union else 1.0
+class Items:
+    """A block of items: fingerprints of their passages and of their item-sized windows, and their weighted shingles."""
+
+    def __init__(self, ids: list[int], texts: list[str], size: int, radius: int, counts: dict[int, int] | None = None, n_items: int | None = None):
+        self.size = size
+        words, hashes, item, pos = [], [], [], []
+        for k, t in enumerate(texts):
+            data = plain(t).encode("utf-8", "ignore")
+            h, s, e = word_hashes(data)
+            low = data.lower()
+            words.append([low[a:b] for a, b in zip(s.tolist(), e.tolist(), strict=True)])
+            hashes.append(h)
+            n = max(0, len(h) - size + 1)
+            item += [k] * n
+            pos += range(n)
+        self.ids, self.words = ids, words
+        self.item, self.pos = np.array(item, dtype=np.int64), np.array(pos, dtype=np.int64)
+        self.prints = np.concatenate([window_simhash(h, size) for h in hashes] or [np.zeros(0, dtype=np.uint64)])
+        self.passages = Prints(self.prints, radius)
+        self.candidates = self.passages.candidates
+        # item-sized windows: (item, whether by its end) per grid size
+        self.whole: dict[int, tuple[list[tuple[int, bool]], Prints]] = {}
+        by_size: dict[int, list[int]] = {}
+        for k, h in enumerate(hashes):
+            if grid_size(len(h)) > size:
+                by_size.setdefault(grid_size(len(h)), []).append(k)
+        for z, ks in by_size.items():
+            ends = [(k, end) for k in ks for end in (False, True)]
+            prints = np.concatenate([window_simhash(hashes[k][-z:] if end else hashes[k][:z], z) for k, end in ends])
+            self.whole[z] = (ends, Prints(prints, ITEM_RADIUS, slack=1))
+        self.shingles = [np.unique(shingle_hashes(h)) for h in hashes]
+        if counts is None:
+            u, c = np.unique(np.concatenate(self.shingles or [np.zeros(0, dtype=np.uint64)]), return_counts=True)
+            counts = dict(zip(u.tolist(), c.tolist(), strict=True))
+        n = n_items or max(1, len(words))
+        self.rarest = float(np.log1p(n))
+        self.weights = [np.array([np.log1p(n / counts.get(x, 1)) for x in g.tolist()]) for g in self.shingles]
+        self.total = [float(w.sum()) for w in self.weights]
+        self.passage_hashes = [np.unique(_runs(h, size)) for h in hashes]
+
+    def similarity(self, k: int, words: np.ndarray, own: np.ndarray | None = None) -> float:
+        """Weighted Jaccard similarity of a text's words with item k, or with a window of it (``own``: the window's words)."""
+        theirs, weights, total = self.shingles[k], self.weights[k], self.total[k]
+        if own is not None:
+            part = np.isin(theirs, shingle_hashes(own))
+            theirs, weights = theirs[part], weights[part]
+            total = float(weights.sum())
+        mine = np.unique(shingle_hashes(words))
+        shared = float(weights[np.isin(theirs, mine)].sum())
+        union = total + self.rarest * int((~np.isin(mine, theirs)).sum())
+        return shared / union if union else 1.0
+
+
+def _runs(words: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every run of ``size`` words."""
+    h = np.zeros(max(0, len(words) - size + 1), dtype=np.uint64)
+    for k in range(size):
+        h = _mix(h * np.uint64(0x9E3779B97F4A7C15) + words[k : k + len(h)])
+    return h
 
 
 def scan(items: Items, ids: list[int], texts: list[str], similarity: float) -> list[tuple]:
-    """doc, item, window of the item, similarity, exact: verified windows of a batch of texts."""
+    """doc, item, window, similarity, exact, part: verified windows of a batch of texts; part: passage, or item (window: -1)."""
     if not len(items.prints):
         return []
     parts = [plain(t).encode("utf-8", "ignore") for t in texts]
     # one buffer for the batch; the separator keeps words apart, windows over a text's end are left out
     data = b"\x00".join(parts)
     hashes, start, end = word_hashes(data)
-    prints = window_simhash(hashes, items.size)
-    if not len(prints):
+    size = items.size
+    if len(hashes) < size:
         return []
     offsets = np.cumsum([0] + [len(p) + 1 for p in parts])
     doc = np.searchsorted(offsets, start, "right") - 1
-    n = len(prints)
-    within = np.flatnonzero(doc[:n] == doc[items.size - 1 :][:n])
-    text_w, item_w = items.candidates(prints[within])
-    out, size = [], items.size
+    prints = sized_simhashes(hashes, sorted({size, *items.whole}))
+    out = []
+
+    def inside(z: int) -> np.ndarray:
+        n = len(hashes) - z + 1
+        return np.flatnonzero(doc[:n] == doc[z - 1 :][:n]) if n > 0 else np.zeros(0, dtype=np.int64)
+
+    within = inside(size)
+    text_w, item_w = items.candidates(prints[size][within])
     for w, v in zip(within[text_w].tolist(), item_w.tolist(), strict=True):
         mine = [data[start[i] : end[i]].lower() for i in range(w, w + size)]
         k, p = int(items.item[v]), int(items.pos[v])
-        theirs = items.words[k][p : p + size]
-        sim = 1.0 if mine == theirs else items.similarity(mine, theirs)
+        same = mine == items.words[k][p : p + size]
+        sim = 1.0 if same else _window_similarity(items, k, hashes[w : w + size], items.words[k][p : p + size])
         if sim >= similarity:
-            out.append((ids[doc[w]], items.ids[k], p, sim, mine == theirs))
+            out.append((ids[doc[w]], items.ids[k], p, sim, same, "passage"))
+    first = np.searchsorted(doc, np.arange(len(texts)), "left")
+    last = np.searchsorted(doc, np.arange(len(texts)), "right")
+    for z, (ends, index) in items.whole.items():
+        within = inside(z)
+        text_w, item_w = index.candidates(prints[z][within])
+        places = set()
+        for w, v in zip(within[text_w].tolist(), item_w.tolist(), strict=True):
+            k, by_end = ends[v]
+            n = len(items.words[k])
+            places.add((k, max(int(first[doc[w]]), w + z - n) if by_end else w, w + z if by_end else min(int(last[doc[w]]), w + n)))
+        best: dict[tuple[int, int], tuple[float, bool]] = {}
+        for k, a, b in places:
+            sim = items.similarity(k, hashes[a:b])
+            if sim >= similarity:
+                exact = bool(np.isin(_runs(hashes[a:b], size), items.passage_hashes[k]).any())
+                pair = (int(doc[a]), k)
+                had = best.get(pair, (0.0, False))
+                best[pair] = (max(had[0], sim), had[1] or exact)
+        out += [(ids[d], items.ids[k], -1, sim, exact, "item") for (d, k), (sim, exact) in best.items()]
     return out
 
 
+def _window_similarity(items: Items, k: int, mine: np.ndarray, theirs: list[bytes]) -> float:
+    own, _, _ = word_hashes(b" ".join(theirs))
+    return items.similarity(k, mine, own)
+
+
+_INDEXED: dict[str, Items] = {}
+
+
+def _indexed(name: str, shipped, words: int, radius: int) -> Items:
+    """The block's index, built once per worker process."""
+    if name not in _INDEXED:
+        _INDEXED.clear()
+        ids, texts, counts, n = shipped.value
+        _INDEXED[name] = Items(ids, texts, words, radius, counts, n)
+    return _INDEXED[name]
+
+
+def _shingles(items: DataFrame) -> DataFrame:
+    """item_id, h: the distinct shingles of every item."""
+
+    def run(batches):
+        for pdf in batches:
+            each = [(i, np.unique(shingle_hashes(word_hashes(plain(t).encode("utf-8", "ignore"))[0])).view(np.int64)) for i, t in zip(pdf["item_id"], pdf["text"], strict=True)]
+            yield pd.DataFrame({"item_id": np.repeat([i for i, _ in each], [len(h) for _, h in each]).astype("int64"), "h": np.concatenate([h for _, h in each] or [np.zeros(0, dtype=np.int64)])})
+
+    return items.select("item_id", "text").mapInPandas(run, "item_id bigint, h bigint").distinct()
+
+
 def leaked_windows(docs: DataFrame, items: DataFrame, words: int = WORDS, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, item_id, window, similarity, exact of every item window found in a document.
+    """doc_id, item_id, window, similarity, exact, part of every window of an item found in a document.
 
     docs: doc_id, text; items: item_id, text. Only the query set (items) visits the driver, block by
-    block; documents stay where they are read.
+    block; documents stay where they are read. part: passage (window: its first word in the item) or item (window -1).
     """
     spark = docs.sparkSession
-    schema = "doc_id bigint, item_id bigint, window int, similarity double, exact boolean"
+    schema = "doc_id bigint, item_id bigint, window int, similarity double, exact boolean, part string"
     if words < SHINGLE:
         raise ValueError("a passage must have at least as many words as a shingle")
 
-    def one_pass(block: list) -> DataFrame:
-        shipped = spark.sparkContext.broadcast(([r[0] for r in block], [r[1] for r in block]))
+    def one_pass(block: list, counts: dict[int, int] | None, n: int) -> DataFrame:
+        shipped = spark.sparkContext.broadcast(([r[0] for r in block], [r[1] for r in block], counts, n))
+        name = uuid.uuid4().hex
 
         def run(batches):
-            own = Items(*shipped.value, words, radius)
+            own = _indexed(name, shipped, words, radius)
             for pdf in batches:
                 ids, texts, held = [], [], 0
                 found: list[tuple] = []
@@ -258,22 +390,34 @@ def leaked_windows(docs: DataFrame, items: DataFrame, words: int = WORDS, radius
                 if ids:
                     found += scan(own, ids, texts, similarity)
                 if found:
-                    yield pd.DataFrame(found, columns=["doc_id", "item_id", "window", "similarity", "exact"])
+                    yield pd.DataFrame(found, columns=["doc_id", "item_id", "window", "similarity", "exact", "part"])
 
         return docs.where("text is not null").select("doc_id", "text").mapInPandas(run, schema)
 
-    out, block, held = spark.createDataFrame([], schema), [], 0
-    rows = items.where("item_id is not null and length(text) > 0").select("item_id", "text")
-    for r in rows.toLocalIterator():
-        block.append((r[0], r[1]))
-        held += len(r[1]) // 2  # no text has more words than that
-        if held >= BLOCK_WINDOWS:
-            out, block, held = out.unionByName(one_pass(block)), [], 0
-    return out.unionByName(one_pass(block)) if block else out
+    rows = items.where("item_id is not null and length(text) > 0").select("item_id", "text").groupBy("item_id", "text").agg(F.lit(1).alias("one")).drop("one")
+    n, chars = rows.agg(F.count(F.lit(1)), F.sum(F.length("text"))).first()
+    if not n:
+        return spark.createDataFrame([], schema)
+    blocks = -(-int(chars) // (6 * BLOCK_WORDS))  # a word takes about six characters
+    if blocks == 1:
+        return one_pass([tuple(r) for r in rows.collect()], None, n)
+    # many items: a part of them at a time, with the shingle counts of all
+    rows = cut(rows.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(blocks))))
+    own = cut(_shingles(rows))
+    counts = cut(own.join(own.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "h").join(rows.select("item_id", "block").distinct(), "item_id").select("block", "h", "n").distinct())
+    out = spark.createDataFrame([], schema)
+    for b in range(blocks):
+        block = [tuple(r) for r in rows.where(F.col("block") == b).select("item_id", "text").collect()]
+        if block:
+            common = {int(r["h"]) % (1 << 64): r["n"] for r in counts.where(F.col("block") == b).collect()}
+            out = out.unionByName(cut(one_pass(block, common, n)))
+    return out
 
 
 def leaks(windows: DataFrame) -> DataFrame:
-    """doc_id, item_id pairs with how much of the item was found: exact and near windows, best similarity."""
+    """doc_id, item_id pairs with how much of the item was found: exact and near passages, similarity of the best passage and of the whole item."""
+    passage, whole = F.col("part") == "passage", F.col("part") == "item"
     return windows.groupBy("doc_id", "item_id").agg(
-        F.count_distinct(F.when(F.col("exact"), F.col("window"))).alias("exact_windows"), F.count_distinct("window").alias("windows"), F.max("similarity").alias("similarity")
-    )
+        F.count_distinct(F.when(F.col("exact") & passage, F.col("window"))).alias("exact_windows"), F.count_distinct(F.when(passage, F.col("window"))).alias("windows"),
+        F.max(F.when(passage, F.col("similarity"))).alias("similarity"), F.max(F.when(whole, F.col("similarity"))).alias("item_similarity"),
+    )

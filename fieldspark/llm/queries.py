@@ -12,8 +12,8 @@ from fieldspark.session import table
 
 # ---------------------------------------------------------------- 2
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    items = topn.one_per_copy(table(spark, d, "cfb_ratings_2025"), "run_id", "draw_no", "rating_id", "adj_net", "net_rank")
-    return topn.top_n(items, 5).select(F.col("g").alias("run_id"), "pos", F.col("id").alias("rating_id"))
+    best = topn.top_items(table(spark, d, "cfb_ratings_2025"), "run_id", "draw_no", "rating_id", "adj_net", "net_rank", 5)
+    return best.select(F.col("g").alias("run_id"), "pos", F.col("id").alias("rating_id"))
 
 
 # ---------------------------------------------------------------- 8

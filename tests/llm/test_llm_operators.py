@@ -33,6 +33,7 @@ def test_top_n_against_plain_python(spark, heavy):
         want |= {(g, p + 1, b[3]) for p, b in enumerate(best)}
     got = topn.top_n(topn.one_per_copy(df, "run_id", "draw_no", "rating_id", "adj_net", "net_rank"), 5, heavy)
     assert {tuple(r) for r in got.collect()} == want
+    assert {tuple(r) for r in topn.top_items(df, "run_id", "draw_no", "rating_id", "adj_net", "net_rank", 5, heavy).collect()} == want
     assert topn.top_n(topn.one_per_copy(df.limit(0), "run_id", "draw_no", "rating_id", "adj_net", "net_rank"), 5).count() == 0
 
 
@@ -68,13 +69,17 @@ def test_leaks_against_plain_python(spark):
     want = {(d, i) for d, w in docs for i, t in items if runs(t, w)}
     D = spark.createDataFrame([(d, " ".join(w), "clash") for d, w in docs] + [(500, None, ""), (501, "", "")], "doc_id bigint, text string, item_id string")
     items_df = spark.createDataFrame([(i, " ".join(t)) for i, t in items] + [(99, None), (98, "")], "item_id bigint, text string")
+    seen = []
     for block in (10**6, 60):  # one pass, and one pass per few items
-        old, leak.BLOCK_WINDOWS = leak.BLOCK_WINDOWS, block
+        old, leak.BLOCK_WORDS = leak.BLOCK_WORDS, block
         try:
-            got = leak.leaked_windows(D, items_df).where("exact").select("doc_id", "item_id").distinct().collect()
+            found = leak.leaked_windows(D, items_df)
+            seen.append(sorted(map(tuple, found.collect())))
+            got = found.where("exact").select("doc_id", "item_id").distinct().collect()
         finally:
-            leak.BLOCK_WINDOWS = old
+            leak.BLOCK_WORDS = old
         assert {tuple(r) for r in got} == want and want
+    assert seen[0] == seen[1]  # blocks change neither finds nor similarities
     assert leak.leaked_windows(D, items_df.limit(0)).count() == 0
     assert leak.leaked_windows(D.limit(0), items_df).count() == 0
 
@@ -114,6 +119,50 @@ def test_fingerprints_within_the_radius_are_always_found():
         assert flips > 2 or {a for a, _ in brute} == set(range(len(probe)))
 
 
+def test_fingerprints_with_slack_are_always_found():
+    rng = np.random.default_rng(4)
+    own = leak.Prints(rng.integers(0, 1 << 63, 200, dtype=np.uint64), leak.ITEM_RADIUS, slack=1)
+    assert len(own.sorted) == 4
+    for flips in (0, 5, 7, 9):
+        probe = own.prints.copy()
+        for k in range(len(probe)):
+            for bit in rng.choice(64, flips, replace=False):
+                probe[k] ^= np.uint64(1 << int(bit))
+        left, right = own.candidates(probe)
+        got = set(zip(left.tolist(), right.tolist(), strict=True))
+        assert got == {(a, b) for a in range(len(probe)) for b in np.flatnonzero(np.bitwise_count(own.prints ^ probe[a]) <= 7).tolist()}
+
+
+def test_edited_items_are_recalled(data):
+    """Planted edits: of all copies whose weighted similarity is at least 0.8 (by brute force over all places), at least 0.9 are found."""
+    import pyarrow.parquet as pq
+
+    rnd = random.Random(11)
+    t = pq.read_table(f"{data}/eval_items.parquet", columns=["item_id", "text"]).to_pydict()
+    rows = [(i, x) for i, x in zip(t["item_id"], t["text"], strict=True) if x]
+    own = leak.Items([i for i, _ in rows], [x for _, x in rows], leak.WORDS, leak.RADIUS)
+    hit = asked = 0
+    for k, (ident, _) in enumerate(rows):
+        for edits in (1, 2, 3):
+            w = [x.decode() for x in own.words[k]]
+            for _ in range(edits):
+                p = rnd.randrange(len(w))
+                kind = rnd.choice("sid")
+                w[p : p + (kind != "i")] = [] if kind == "d" else [f"zq{rnd.randrange(10**6)}"]
+            doc = [f"vx{rnd.randrange(10**6)}" for _ in range(30)] + w + [f"vx{rnd.randrange(10**6)}" for _ in range(30)]
+            h, _, _ = leak.word_hashes(" ".join(doc).encode())
+            n = len(own.words[k])
+            brute = max(own.similarity(k, h[a : a + n]) for a in range(0, len(h) - n + 1))
+            if brute >= leak.SIMILARITY:
+                asked += 1
+                hit += any(r[1] == ident and r[5] == "item" for r in leak.scan(own, [1], [" ".join(doc)], leak.SIMILARITY))
+    assert asked > 150 and hit >= 0.9 * asked, (hit, asked)
+
+
+def test_long_tags_are_no_words():
+    assert leak.plain("a<b " + "x" * 5000 + ">c").split() == ["a", "c"]
+
+
 def test_simhash_is_a_majority():
     rng = np.random.default_rng(1)
     w = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
@@ -122,6 +171,9 @@ def test_simhash_is_a_majority():
     want = np.array([np.packbits(bits[i : i + 12].sum(0) > 6).view(np.uint64)[0] for i in range(29)])
     assert (got == want).all()
     assert len(leak.window_simhash(w[:11], 12)) == 0
+    long = rng.integers(0, 1 << 63, 40_000, dtype=np.uint64)
+    for z, prints in leak.sized_simhashes(long, [12, 45, 89]).items():
+        assert (prints == leak.window_simhash(long, z)).all() and len(prints) == len(long) - z + 1
 
 
 # ---------------------------------------------------------------- 9
