@@ -193,16 +193,17 @@ class Prints:
                 own, key = np.tile(own, len(flips)), np.concatenate([key ^ f for f in flips])
             order = np.argsort(key, kind="stable")
             # a bitmap over the block's low bits rejects most windows before the binary search
-            bitmap = np.zeros(1 << 20, dtype=bool)
-            bitmap[key & np.uint64((1 << 20) - 1)] = True
-            self.sorted.append((shift, mask, key[order], own[order], bitmap))
+            low = np.uint64(min(int(mask), (1 << 20) - 1))
+            bitmap = np.zeros(int(low) + 1, dtype=bool)
+            bitmap[key & low] = True
+            self.sorted.append((shift, mask, key[order], own[order], low, bitmap))
 
     def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place in ``prints``, place in the own fingerprints) of the pairs within the radius: all of them."""
         left, right = [], []
-        for shift, mask, keys, own, bitmap in self.sorted:
+        for shift, mask, keys, own, low, bitmap in self.sorted:
             key = (prints >> shift) & mask
-            at = np.flatnonzero(bitmap[key & np.uint64((1 << 20) - 1)])
+            at = np.flatnonzero(bitmap[key & low])
             if not len(at):
                 continue
             lo, hi = np.searchsorted(keys, key[at], "left"), np.searchsorted(keys, key[at], "right")
@@ -248,27 +249,47 @@ class Items:
             ends = [(k, end) for k in ks for end in (False, True)]
             prints = np.concatenate([window_simhash(hashes[k][-z:] if end else hashes[k][:z], z) for k, end in ends])
             self.whole[z] = (ends, Prints(prints, ITEM_RADIUS, slack=1))
-        self.shingles = [np.unique(shingle_hashes(h)) for h in hashes]
+        # shingles and weights by place, for windows, and as sorted sets, for whole items
+        self.places = [shingle_hashes(h) for h in hashes]
         if counts is None:
-            u, c = np.unique(np.concatenate(self.shingles or [np.zeros(0, dtype=np.uint64)]), return_counts=True)
+            u, c = np.unique(np.concatenate([np.unique(g) for g in self.places] or [np.zeros(0, dtype=np.uint64)]), return_counts=True)
             counts = dict(zip(u.tolist(), c.tolist(), strict=True))
         n = n_items or max(1, len(words))
         self.rarest = float(np.log1p(n))
-        self.weights = [np.array([np.log1p(n / counts.get(x, 1)) for x in g.tolist()]) for g in self.shingles]
-        self.total = [float(w.sum()) for w in self.weights]
+        weights = [np.array([np.log1p(n / counts.get(x, 1)) for x in g.tolist()]) for g in self.places]
+        self.flat, self.flat_weights = np.concatenate(self.places or [np.zeros(0, dtype=np.uint64)]), np.concatenate(weights or [np.zeros(0)])
+        self.first = np.cumsum([0] + [len(g) for g in self.places])
+        self.sets = []
+        for g, w in zip(self.places, weights, strict=True):
+            u, at = np.unique(g, return_index=True)
+            self.sets.append((u, w[at], float(w[at].sum())))
         self.passage_hashes = [np.unique(_runs(h, size)) for h in hashes]
 
-    def similarity(self, k: int, words: np.ndarray, own: np.ndarray | None = None) -> float:
-        """Weighted Jaccard similarity of a text's words with item k, or with a window of it (``own``: the window's words)."""
-        theirs, weights, total = self.shingles[k], self.weights[k], self.total[k]
-        if own is not None:
-            part = np.isin(theirs, shingle_hashes(own))
-            theirs, weights = theirs[part], weights[part]
-            total = float(weights.sum())
-        mine = np.unique(shingle_hashes(words))
-        shared = float(weights[np.isin(theirs, mine)].sum())
-        union = total + self.rarest * int((~np.isin(mine, theirs)).sum())
-        return shared / union if union else 1.0
+    def similarity(self, k: int, shingles: np.ndarray, least: float = 0.0) -> float:
+        """Weighted Jaccard similarity of item k and a text's shingles; 0 if it cannot reach ``least``."""
+        own, weights, total = self.sets[k]
+        if not len(own):
+            return 0.0
+        at = np.minimum(np.searchsorted(own, shingles), len(own) - 1)
+        hit = own[at] == shingles
+        shared = np.zeros(len(own), dtype=bool)
+        shared[at[hit]] = True
+        common = float(weights[shared].sum())
+        if common < least * total:
+            return 0.0
+        return common / (total + self.rarest * len(set(shingles[~hit].tolist())))
+
+    def window_similarities(self, shingles: np.ndarray, at: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of pairs (place in a text, window of an item): weighted Jaccard similarity of their shingles, and whether they are equal one by one."""
+        step = np.arange(self.size - SHINGLE + 1)
+        mine = shingles[at[:, None] + step]
+        own_at = (self.first[self.item[windows]] + self.pos[windows])[:, None] + step
+        theirs, weights = self.flat[own_at], self.flat_weights[own_at]
+        once = lambda x: ~np.tril(x[:, :, None] == x[:, None, :], -1).any(axis=2)  # noqa: E731 (a shingle counts once per window)
+        equal = mine[:, :, None] == theirs[:, None, :]
+        weights = weights * once(theirs)
+        lacking = (once(mine) & ~equal.any(axis=2)).sum(axis=1)
+        return (weights * equal.any(axis=1)).sum(axis=1) / (weights.sum(axis=1) + self.rarest * lacking), (mine == theirs).all(axis=1)
 
 
 def _runs(words: np.ndarray, size: int) -> np.ndarray:
@@ -293,6 +314,7 @@ def scan(items: Items, ids: list[int], texts: list[str], similarity: float) -> l
     offsets = np.cumsum([0] + [len(p) + 1 for p in parts])
     doc = np.searchsorted(offsets, start, "right") - 1
     prints = sized_simhashes(hashes, sorted({size, *items.whole}))
+    shingles = shingle_hashes(hashes)
     out = []
 
     def inside(z: int) -> np.ndarray:
@@ -301,15 +323,18 @@ def scan(items: Items, ids: list[int], texts: list[str], similarity: float) -> l
 
     within = inside(size)
     text_w, item_w = items.candidates(prints[size][within])
-    for w, v in zip(within[text_w].tolist(), item_w.tolist(), strict=True):
-        mine = [data[start[i] : end[i]].lower() for i in range(w, w + size)]
-        k, p = int(items.item[v]), int(items.pos[v])
-        same = mine == items.words[k][p : p + size]
-        sim = 1.0 if same else _window_similarity(items, k, hashes[w : w + size], items.words[k][p : p + size])
-        if sim >= similarity:
-            out.append((ids[doc[w]], items.ids[k], p, sim, same, "passage"))
+    for a in range(0, len(text_w), 1 << 14):
+        at, windows = within[text_w[a : a + (1 << 14)]], item_w[a : a + (1 << 14)]
+        sims, same = items.window_similarities(shingles, at, windows)
+        good = sims >= similarity
+        for w, v, sim, exact in zip(at[good].tolist(), windows[good].tolist(), sims[good].tolist(), same[good].tolist(), strict=True):
+            k, p = int(items.item[v]), int(items.pos[v])
+            # equal hashes are checked word by word
+            exact = exact and [data[start[i] : end[i]].lower() for i in range(w, w + size)] == items.words[k][p : p + size]
+            out.append((ids[doc[w]], items.ids[k], p, 1.0 if exact else sim, exact, "passage"))
     first = np.searchsorted(doc, np.arange(len(texts)), "left")
     last = np.searchsorted(doc, np.arange(len(texts)), "right")
+    best: dict[tuple[int, int], tuple[float, int, int]] = {}
     for z, (ends, index) in items.whole.items():
         within = inside(z)
         text_w, item_w = index.candidates(prints[z][within])
@@ -318,23 +343,18 @@ def scan(items: Items, ids: list[int], texts: list[str], similarity: float) -> l
             k, by_end = ends[v]
             n = len(items.words[k])
             places.add((k, max(int(first[doc[w]]), w + z - n) if by_end else w, w + z if by_end else min(int(last[doc[w]]), w + n)))
-        best: dict[tuple[int, int], tuple[float, bool]] = {}
         for k, a, b in places:
-            sim = items.similarity(k, hashes[a:b])
+            sim = items.similarity(k, shingles[a : b - SHINGLE + 1], similarity)
             if sim >= similarity:
-                exact = bool(np.isin(_runs(hashes[a:b], size), items.passage_hashes[k]).any())
                 pair = (int(doc[a]), k)
-                had = best.get(pair, (0.0, False))
-                best[pair] = (max(had[0], sim), had[1] or exact)
-        out += [(ids[d], items.ids[k], -1, sim, exact, "item") for (d, k), (sim, exact) in best.items()]
+                had = best.get(pair, (0.0, a, b))
+                best[pair] = (max(had[0], sim), min(had[1], a), max(had[2], b))
+    for (d, k), (sim, a, b) in best.items():
+        exact = bool(np.isin(_runs(hashes[a:b], size), items.passage_hashes[k]).any())
+        out.append((ids[d], items.ids[k], -1, sim, exact, "item"))
     return out
 
 
-def _window_similarity(items: Items, k: int, mine: np.ndarray, theirs: list[bytes]) -> float:
-    own, _, _ = word_hashes(b" ".join(theirs))
-    return items.similarity(k, mine, own)
-
-
 _INDEXED: dict[str, Items] = {}
 
 

@@ -152,13 +152,29 @@ def test_edited_items_are_recalled(data):
             doc = [f"vx{rnd.randrange(10**6)}" for _ in range(30)] + w + [f"vx{rnd.randrange(10**6)}" for _ in range(30)]
             h, _, _ = leak.word_hashes(" ".join(doc).encode())
             n = len(own.words[k])
-            brute = max(own.similarity(k, h[a : a + n]) for a in range(0, len(h) - n + 1))
+            brute = max(own.similarity(k, leak.shingle_hashes(h[a : a + n])) for a in range(0, len(h) - n + 1))
             if brute >= leak.SIMILARITY:
                 asked += 1
                 hit += any(r[1] == ident and r[5] == "item" for r in leak.scan(own, [1], [" ".join(doc)], leak.SIMILARITY))
     assert asked > 150 and hit >= 0.9 * asked, (hit, asked)
 
 
+def test_similarities_equal_sets_of_words():
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice("abcd") for _ in range(rnd.randrange(14, 40))) for _ in range(12)]
+    own = leak.Items(list(range(12)), texts, 12, 2)
+    grams = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    sets = [grams(t.split()) for t in texts]
+    weight = lambda g, k: np.log1p(12 / sum(g in s for s in sets)) if g in sets[k] else np.log1p(12)
+    for _ in range(200):
+        w, v = [rnd.choice("abcd") for _ in range(12)], rnd.randrange(len(own.item))
+        k, p = int(own.item[v]), int(own.pos[v])
+        h, _, _ = leak.word_hashes(" ".join(w).encode())
+        for theirs, got in ((sets[k], own.similarity(k, leak.shingle_hashes(h))), (grams(texts[k].split()[p : p + 12]), own.window_similarities(leak.shingle_hashes(h), np.array([0]), np.array([v]))[0][0])):
+            inside = lambda g: weight(g, k) if g in theirs else np.log1p(12)  # noqa: B023, E731
+            assert got == pytest.approx(sum(map(inside, grams(w) & theirs)) / sum(map(inside, grams(w) | theirs)))
+
+
 def test_long_tags_are_no_words():
     assert leak.plain("a<b " + "x" * 5000 + ">c").split() == ["a", "c"]
 
