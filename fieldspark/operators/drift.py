@@ -1,11 +1,12 @@
 """Schemas that drift between files: a column lifespan catalogue.
 
-Each file's footer (which fields occur, with which types and how many values of each form) is one
-small aggregate over the records. Everything else works on these footers: islands of consecutive
+Each file's footer (which fields occur, with which types, and if asked how many values of each form) is one small
+aggregate over the records. Everything else works on these footers: islands of consecutive
 files per (feed, field) are lifespans, their starts and endings are the added and removed fields,
 ``lag``-style windows over the types are the retypings, and records that a file repeats from the
-file before decide which ending and which start are the same field (an alias). From the alias table
-the casts of one consistent table are generated; it is read without any shuffle.
+file before decide which ending and which start are the same field (an alias). The alias table is data: joined to the
+records by file it says which field fills which column, so the plan of the consistent table grows with its columns only;
+their casts are generated from the forms of the values.
 
 Defined results
 - a body that is no JSON object (or NULL) has no fields; NULL feed or file numbers belong to no file.
@@ -22,11 +23,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldspark.session import cut
+from fieldspark.session import broadcast_if_small, cut
 
 MIN_SHARE = 0.9
-#: More aliases than this is an error, as each is a term of the generated plan.
-MAX_ALIASES = 20_000
+#: More columns than this is an error, as each is a column of the plan.
+MAX_COLUMNS = 5_000
 _NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -41,23 +42,28 @@ def records(rows: DataFrame) -> DataFrame:
     )
 
 
+_PLAIN = r'(?s)^\s*(?:\[|\{\s*"[^"]*"\s*:)?\s*"?(.*?)"?\s*[\]}]?\s*$'
+
+
+def _plain(text: Column) -> Column:
+    """A value's text without a single wrapping."""
+    return F.when(text.rlike(r'^[^\[{"\s][^"\]}\s]*$'), text).otherwise(F.regexp_extract(text, _PLAIN, 1))
+
+
 def _fields(recs: DataFrame, *keep: str) -> DataFrame:
-    """One row per record and key: field, value, kind (VARIANT schema), plain (text without wrapping)."""
-    own = recs.where("try_variant_get(doc, '$', 'map<string,variant>') is not null")
-    pairs = own.select(*keep, F.explode(F.expr("map_entries(try_variant_get(doc, '$', 'map<string,variant>'))")).alias("e"))
-    plain = F.regexp_extract(F.expr("try_variant_get(e.value, '$', 'string')"), r'(?s)^\s*(?:\[|\{\s*"[^"]*"\s*:)?\s*"?(.*?)"?\s*[\]}]?\s*$', 1)
-    return pairs.select(*keep, F.col("e.key").alias("field"), F.expr("schema_of_variant(e.value)").alias("kind"), plain.alias("plain"))
+    """One row per record and key: the kept columns, field, value (VARIANT); what is no object has none."""
+    pairs = F.expr("map_entries(try_variant_get(doc, '$', 'map<string,variant>'))")
+    return recs.select(*keep, F.inline(pairs).alias("field", "value"))
 
 
-def _type() -> Column:
-    k = F.col("kind")
+def _type(kind: Column) -> Column:
     return (
-        F.when(k.isNull() | (k == "VOID"), F.lit(None).cast("string"))
-        .when(k == "BOOLEAN", "boolean")
-        .when(k == "STRING", "text")
-        .when(k.startswith("ARRAY"), "list")
-        .when(k.startswith("OBJECT"), "object")
-        .when(k.rlike(r"^(BIGINT|INT|SMALLINT|TINYINT)$") | k.rlike(r"^DECIMAL\((19|[23][0-9]),0\)$"), "whole")
+        F.when(kind.isNull() | (kind == "VOID"), F.lit(None).cast("string"))
+        .when(kind == "BOOLEAN", "boolean")
+        .when(kind == "STRING", "text")
+        .when(kind.startswith("ARRAY"), "list")
+        .when(kind.startswith("OBJECT"), "object")
+        .when(kind.rlike(r"^(BIGINT|INT|SMALLINT|TINYINT)$") | kind.rlike(r"^DECIMAL\((19|[23][0-9]),0\)$"), "whole")
         .otherwise("decimal")
     )
 
@@ -74,17 +80,29 @@ def files(recs: DataFrame) -> DataFrame:
     return recs.select("feed", "file").distinct().withColumn("idx", F.row_number().over(w))
 
 
-def footers(recs: DataFrame) -> DataFrame:
-    """feed, dataset, file, field, type (NULL: no values) and counts of the values' forms."""
-    f = _fields(recs, "feed", "dataset", "file").withColumn("type", _type())
-    n = lambda cond: F.sum(F.when(F.col("type").isNotNull() & cond, 1).otherwise(0))
-    return f.groupBy("feed", "dataset", "file", "field").agg(
-        _mixed(F.collect_set("type")).alias("type"),
-        n(F.lit(True)).alias("n_values"),
-        n(F.col("plain").rlike(r"^[+-]?[0-9]{1,18}$")).alias("n_whole"),
-        n(F.col("plain").rlike(_NUMBER)).alias("n_number"),
-        n(F.col("plain").isin("true", "false")).alias("n_boolean"),
-    )
+def footers(recs: DataFrame, forms: bool = False) -> DataFrame:
+    """feed, dataset, file, field, type (NULL: no values); with ``forms`` also counts of the values' forms.
+
+    Values are counted by their kind first (a partial aggregate with few groups per file), types are told from the kinds.
+    """
+    f = _fields(recs, "feed", "dataset", "file").withColumn("kind", F.expr("schema_of_variant(value)"))
+    keys = ["feed", "dataset", "file", "field"]
+    if forms:
+        # only text and single wrappings need a look at the value
+        text = F.expr("try_variant_get(value, '$', 'string')")
+        look = F.when((F.col("kind") == "STRING") | F.col("kind").startswith("ARRAY") | F.col("kind").startswith("OBJECT"), _plain(text))
+        f = f.withColumn("plain", look)
+        form = F.when(F.col("plain").rlike("^[+-]?[0-9]{1,18}$"), "whole").when(F.col("plain").rlike(_NUMBER), "number").when(F.col("plain").isin("true", "false"), "boolean").when(F.col("plain").isNotNull(), "other")
+        f = f.withColumn("form", form)
+    counted = f.groupBy(*keys, "kind", *(["form"] if forms else [])).agg(F.count(F.lit(1)).alias("n")).withColumn("type", _type(F.col("kind")))
+    out = [_mixed(F.collect_set("type")).alias("type")]
+    if forms:
+        t, form = F.col("type"), F.col("form")
+        seen = lambda cond: F.sum(F.when(t.isNotNull() & F.coalesce(cond, F.lit(False)), F.col("n")).otherwise(0))
+        whole = (form == "whole") | (form.isNull() & (t == "whole") & (F.col("kind") == "BIGINT"))
+        number = form.isin("whole", "number") | (form.isNull() & t.isin("whole", "decimal"))
+        out += [seen(F.lit(True)).alias("n_values"), seen(whole).alias("n_whole"), seen(number).alias("n_number"), seen((form == "boolean") | (form.isNull() & (t == "boolean"))).alias("n_boolean")]
+    return counted.groupBy(*keys).agg(*out)
 
 
 def lifespans(foot: DataFrame, order: DataFrame) -> DataFrame:
@@ -114,12 +132,18 @@ def renames(recs: DataFrame, spans: DataFrame, order: DataFrame, id_field: str =
     # only files where something ended and something began can hold a renaming
     open_at = both.groupBy("feed", "at").agg(F.count_distinct("side").alias("sides")).where("sides = 2").select("feed", "at")
     asked = both.join(open_at, ["feed", "at"], "left_semi")
-    keyed = recs.join(asked.select("feed", "file").distinct(), ["feed", "file"], "left_semi").withColumn("rec", F.expr(f"try_variant_get(doc, '$.{id_field}', 'string')"))
-    facts = _fields(keyed.where("rec is not null"), "feed", "file", "rec").where("kind <> 'VOID'").join(asked, ["feed", "file", "field"])
-    facts = facts.groupBy("feed", "at", "rec", "side", "field").agg(F.min(_fact(F.col("plain"))).alias("fact"))
-    old = facts.where("side = 'old'").select("feed", "at", "rec", F.col("field").alias("old"), F.col("fact").alias("was"))
-    new = facts.where("side = 'new'").select("feed", "at", "rec", F.col("field").alias("new"), F.col("fact").alias("now"))
-    pairs = old.join(new, ["feed", "at", "rec"]).groupBy("feed", "at", "old", "new").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("was") == F.col("now")).cast("int")).alias("same"))
+    by_file = broadcast_if_small(asked.groupBy("feed", "file").agg(F.collect_list(F.struct("at", "side", "field")).alias("asked")), 50_000)
+    # of a record only the fields in question are read; facts are compared by their hashes
+    near = recs.join(by_file, ["feed", "file"]).select("feed", "asked", F.expr(f"try_variant_get(doc, '$.{id_field}', 'string')").alias("rec"), F.expr("try_variant_get(doc, '$', 'map<string,variant>')").alias("m"))
+    told = near.where("rec is not null and m is not null").select("feed", "rec", "m", F.inline("asked"))
+    value = F.try_element_at("m", F.col("field"))
+    told = told.select("feed", "rec", "at", "side", "field", value.alias("value")).where("value is not null and schema_of_variant(value) <> 'VOID'")
+    told = told.withColumn("fact", F.xxhash64(_fact(_plain(F.expr("try_variant_get(value, '$', 'string')")))))
+    facts = told.groupBy("feed", "at", "rec", "side", "field").agg(F.min("fact").alias("fact"))
+    # a record holds at most its files' fields
+    sides = facts.groupBy("feed", "at", "rec").agg(F.collect_list(F.struct("side", "field", "fact")).alias("f")).where("exists(f, x -> x.side = 'old') and exists(f, x -> x.side = 'new')")
+    each = "flatten(transform(filter(f, o -> o.side = 'old'), o -> transform(filter(f, n -> n.side = 'new'), n -> struct(o.field as old, n.field as new, int(o.fact = n.fact) as same))))"
+    pairs = sides.select("feed", "at", F.expr(f"inline({each})")).groupBy("feed", "at", "old", "new").agg(F.count(F.lit(1)).alias("n"), F.sum("same").alias("same"))
     good = pairs.where(F.col("same") >= F.col("n") * MIN_SHARE)
     key = lambda c: F.lower(F.regexp_replace(c, "[^A-Za-z0-9]", ""))
     # best pair first, then the best of the fields still unmatched, and so on: the same as repeated mutual-best rounds, as the order is total
@@ -184,33 +208,26 @@ def changes(rows: DataFrame) -> DataFrame:
     return every.join(order, ["feed", "idx"]).select(F.col("feed").alias("feed_id"), F.col("file").alias("file_no"), "field", "change")
 
 
-def alias_table(rows: DataFrame) -> DataFrame:
-    """feed, dataset, field, from_file, to_file, column, and the counts that decide the column's type."""
-    recs = records(rows)
+def alias_table(recs: DataFrame) -> DataFrame:
+    """feed, dataset, file, field, root (the name its chain of renamings began with), and the counts of its values' forms; written down."""
     order = files(recs)
-    spans = cut(lifespans(footers(recs), order))
+    spans = cut(lifespans(footers(recs, forms=True), order))
     roots = _follow(_islands(spans, renames(recs, spans, order)), to_root=True).select("feed", "field", "born", "root")
-    return spans.join(roots, ["feed", "field", "born"]).groupBy("feed", "dataset", "field", F.col("root").alias("column"), "born").agg(
-        F.min("file").alias("from_file"), F.max("file").alias("to_file"), *[F.sum(c).alias(c) for c in ("n_values", "n_whole", "n_number", "n_boolean")]
-    )
-
-
-def _column_names(aliases: list) -> dict[str, str]:
-    """Root name -> column. Roots that differ in letter case only (in other feeds or files) are one column,
-    under the most used spelling; where both occur in one file they stay apart, the rarer one numbered."""
-    spans: dict[str, list] = {}
-    for a in aliases:
-        spans.setdefault(a["column"], []).append((a["feed"], a["from_file"], a["to_file"], a["n_values"]))
-    meet = lambda x, y: any(f == g and a <= d and c <= b for f, a, b, _ in x for g, c, d, _ in y)
+    return cut(spans.join(roots, ["feed", "field", "born"]).select("feed", "dataset", "file", "field", "root", "n_values", "n_whole", "n_number", "n_boolean"))
+
+
+def _column_names(roots: dict[str, int], meeting: set[tuple[str, str]]) -> dict[str, str]:
+    """Root -> column. Roots (with their numbers of values) that differ in letter case only are one column, under the most
+    used spelling; where two of them meet in a file they stay apart, the rarer one numbered."""
     groups: dict[str, list[str]] = {}
-    for root in spans:
+    for root in roots:
         groups.setdefault(root.lower(), []).append(root)
     out: dict[str, str] = {}
     taken = set(groups)
-    for roots in groups.values():
+    for spellings in groups.values():
         columns: list[list[str]] = []
-        for root in sorted(roots, key=lambda r: (-sum(n for *_, n in spans[r]), r)):
-            home = next((c for c in columns if not any(meet(spans[root], spans[o]) for o in c)), None)
+        for root in sorted(spellings, key=lambda r: (-roots[r], r)):
+            home = next((c for c in columns if not any((root, o) in meeting for o in c)), None)
             if home is None:
                 columns.append([root])
             else:
@@ -228,33 +245,39 @@ def unified_table(rows: DataFrame, dataset: str) -> DataFrame:
     """All records of a dataset with one set of typed columns, whatever their files called the fields.
 
     A column is BIGINT, DOUBLE or BOOLEAN if all its values read so once single wrappings are taken
-    off, else STRING. Column names differ in more than letter case. The casts are generated from the alias table; the records are only projected.
+    off, else STRING. Column names differ in more than letter case. Records meet the alias table by their file; only the
+    columns (at most MAX_COLUMNS) visit the driver.
     """
-    al = alias_table(rows).where(F.col("dataset") == dataset).limit(MAX_ALIASES + 1).collect()
-    if len(al) > MAX_ALIASES:
-        raise ValueError(f"more than {MAX_ALIASES} aliases")
-    names = _column_names(al)
-    by_column: dict[str, list] = {}
-    meanings: dict[str, set] = {}
-    for a in al:
-        by_column.setdefault(names[a["column"]], []).append(a)
-        meanings.setdefault(a["field"], set()).add(names[a["column"]])
+    recs = records(rows).where(F.col("dataset") == dataset)
+    al = alias_table(recs)
+    counts = ("n_values", "n_whole", "n_number", "n_boolean")
+    found = al.groupBy("root").agg(*[F.sum(c).alias(c) for c in counts]).limit(MAX_COLUMNS + 1).collect()
+    if len(found) > MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} columns")
+    alike = al.groupBy("feed", "file", F.lower("root").alias("low")).agg(F.collect_set("root").alias("r")).where("size(r) > 1").select("r").distinct().collect()
+    names = _column_names({r["root"]: r["n_values"] for r in found}, {(a, b) for x in alike for a in x["r"] for b in x["r"]})
+    columns = sorted(set(names.values()))
+    place = {c: i for i, c in enumerate(columns)}
+    sums = {c: dict.fromkeys(counts, 0) for c in columns}
+    for r in found:
+        for c in counts:
+            sums[names[r["root"]]][c] += r[c]
+    to_place = rows.sparkSession.createDataFrame([(root, place[c]) for root, c in names.items()], "root string, place int")
+    placed = al.join(F.broadcast(to_place), "root")
+    shared = not placed.groupBy("feed", "file", "place").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    mapped = placed.groupBy("feed", "file").agg(F.map_from_entries(F.collect_list(F.struct("field", "place"))).alias("places"))
+    by_file = broadcast_if_small(mapped, 50_000)
+    texts = recs.join(by_file, ["feed", "file"], "left").select("feed", "file", "row", "places", F.expr("try_variant_get(doc, '$', 'map<string,string>')").alias("t")).where("t is not null")
+    if shared:  # two fields of a file fill one column: the first by name that has a value counts
+        values = "sort_array(transform(filter(map_entries(t), e -> e.value is not null), e -> struct(e.key as key, places[e.key] as place, e.value as value)))"
+        first = "map_from_entries(filter(transform(v, (x, i) -> if(exists(slice(v, 1, i), y -> y.place = x.place), null, struct(x.place, x.value))), z -> z is not null))"
+        flat = texts.withColumn("v", F.expr(values)).select("feed", "file", "row", F.expr(first).alias("m"))
+    else:
+        flat = texts.select("feed", "file", "row", F.expr("map_from_entries(transform(map_entries(t), e -> struct(places[e.key], e.value)))").alias("m"))
+    flat = flat.withColumn("m", F.transform_values("m", lambda k, v: _plain(v)))
     out = []
-    for name, group in sorted(by_column.items()):
-        terms, seen = [], set()
-        for a in sorted(group, key=lambda a: (a["feed"], a["from_file"], a["field"])):
-            if len(meanings[a["field"]]) == 1 and a["field"] in seen:
-                continue
-            seen.add(a["field"])
-            value = F.try_element_at(F.col("m"), F.lit(a["field"]))
-            if len(meanings[a["field"]]) > 1:
-                value = F.when((F.col("feed") == a["feed"]) & F.col("file").between(a["from_file"], a["to_file"]), value)
-            terms.append(value)
-        n = {c: sum(a[c] for a in group) for c in ("n_values", "n_whole", "n_number", "n_boolean")}
+    for c in columns:
+        n = sums[c]
         kind = "string" if not n["n_values"] else "bigint" if n["n_whole"] == n["n_values"] else "double" if n["n_number"] == n["n_values"] else "boolean" if n["n_boolean"] == n["n_values"] else "string"
-        out.append(F.coalesce(*terms).try_cast(kind).alias(name))
-    plain = r'(?s)^\s*(?:\[|\{\s*"[^"]*"\s*:)?\s*"?(.*?)"?\s*[\]}]?\s*$'
-    recs = records(rows).where((F.col("dataset") == dataset) & F.expr("try_variant_get(doc, '$', 'map<string,variant>') is not null"))
-    texts = recs.select("feed", "file", "row", F.expr("try_variant_get(doc, '$', 'map<string,string>')").alias("t"))
-    flat = texts.select("feed", "file", "row", F.transform_values("t", lambda k, v: F.regexp_extract(v, plain, 1)).alias("m"))
+        out.append(F.try_element_at(F.col("m"), F.lit(place[c])).try_cast(kind).alias(c))
     return flat.select(F.col("feed").alias("feed_id"), F.col("file").alias("file_no"), F.col("row").alias("record_row_id"), *out)

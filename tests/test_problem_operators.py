@@ -296,5 +296,9 @@ def test_drift_unified_table(spark):
     c = drift.unified_table(raw(spark, case), "d")
     assert sorted(n.lower() for n in c.columns) == sorted(["feed_id", "file_no", "record_row_id", "id", "epa", "k", "k_2"])
     assert sorted((r.id, r.EPA, r.k, r.K_2) for r in c.collect()) == [(1, 1.5, 1, "x"), (2, 2.0, 5, None)]
+    # a name that comes back while its successor lives: both fill one column; records without fields stay
+    again = {(1, 1): [{"id": i, "a": i} for i in range(4)], (1, 2): [{"id": i, "b": i} for i in range(4)], (1, 3): [{"id": 7, "b": 8, "a": 9}, {"id": 8, "b": None, "a": 5}], (1, 4): [{}]}
+    back = drift.unified_table(raw(spark, again), "d")
+    assert sorted((r.file_no, r.id or 0, r.a or 0) for r in back.where("file_no > 2").collect()) == [(3, 7, 9), (3, 8, 5), (4, 0, 0)] and "b" not in back.columns
     assert drift.changes(raw(spark, {})).count() == 0
     assert drift.unified_table(raw(spark, {}), "d").count() == 0
