@@ -47,7 +47,7 @@ _PLAIN = r'(?s)^\s*(?:\[|\{\s*"[^"]*"\s*:)?\s*"?(.*?)"?\s*[\]}]?\s*$'
 
 def _plain(text: Column) -> Column:
     """A value's text without a single wrapping."""
-    return F.when(text.rlike(r'^[^\[{"\s][^"\]}\s]*$'), text).otherwise(F.regexp_extract(text, _PLAIN, 1))
+    return F.when(text.rlike(r'^[^\[\]{}"\s]([^\[\]{}"]*[^\[\]{}"\s])?$'), text).otherwise(F.regexp_extract(text, _PLAIN, 1))
 
 
 def _fields(recs: DataFrame, *keep: str) -> DataFrame:
