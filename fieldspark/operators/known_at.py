@@ -3,8 +3,10 @@
 Events and versions are co-grouped by entity (entities are packed into hashed groups of bounded
 size, so Python is entered per group and not per entity). Inside a group a vectorised binary
 search finds, per event, the latest version valid and recorded by the event's time. An entity that
-alone exceeds a group is cut into ranges of the recording time; what earlier ranges know is carried
-in as one best version per validity, and its events are salted.
+alone exceeds a group is cut into ranges of time that hold about a group's rows, events and versions
+counted together, however many ranges that takes; what earlier ranges know is carried in as one best
+version per validity, and events of one instant too many for a group are salted. Packs of small
+entities hold a group's rows on average.
 
 Defined results
 - event with NULL entity, validity bound or time: no version (dropped). Versions with NULL entity, validity or recording time are never known.
@@ -19,6 +21,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldspark.operators.prefix import ordered_buckets
+from fieldspark.session import broadcast_if_small, cut
+
 GROUP_ROWS = 200_000
 _EV, _VE = "ev_id bigint, bound bigint, at timestamp_ntz", "valid bigint, known timestamp_ntz, version_id bigint"
 
@@ -119,31 +124,26 @@ def known_at(events: DataFrame, versions: DataFrame, keys: list[str], group_rows
 
 
 def _split_hot(ev: DataFrame, ve: DataFrame, sizes: DataFrame, keys: list[str], group_rows: int, cold) -> tuple[DataFrame, DataFrame]:
-    hot = sizes.where(F.col("e") + F.col("v") > group_rows).withColumn("salts", F.greatest(F.lit(1), F.ceil(F.col("e") / group_rows)).cast("int"))
-    parts = F.ceil(F.col("v") / group_rows).cast("int")
-    quantiles = ve.join(hot.select(*keys, parts.alias("parts")), keys).groupBy(*keys).agg(
-        F.max("parts").alias("parts"), F.percentile_approx(F.unix_micros(F.col("known").cast("timestamp")), F.array(*[F.lit(i / 256) for i in range(1, 256)]), 10000).alias("q")
+    hot = broadcast_if_small(sizes.where(F.col("e") + F.col("v") > group_rows).select(*keys))
+    e_cold, v_cold = (d.join(hot, keys, "left_anti").withColumn("g", cold) for d in (ev, ve))
+    blank = lambda d, c: F.lit(None).cast(dict(d.dtypes)[c]).alias(c)
+    own_e, own_v = ["ev_id", "bound", "at"], ["valid", "known", "version_id"]
+    both = ev.join(hot, keys, "left_semi").select(*keys, F.col("at").alias("time"), F.lit(1).alias("is_ev"), *own_e, *[blank(ve, c) for c in own_v]).unionByName(
+        ve.join(hot, keys, "left_semi").select(*keys, F.col("known").alias("time"), F.lit(0).alias("is_ev"), *[blank(ev, c) for c in own_e], *own_v)
     )
-    # at most 256 ranges of recording time
-    cuts = quantiles.select(*keys, F.expr("array_sort(array_distinct(transform(sequence(1, least(parts, 256) - 1 + int(parts = 1)), i -> q[int(i * 256 / least(greatest(parts, 2), 256)) - 1])))").alias("cuts"), "parts")
-    plan = hot.join(cuts, keys, "left").select(*keys, "salts", F.when(F.col("parts") > 1, F.col("cuts")).otherwise(F.array().cast("array<bigint>")).alias("cuts"))
-    plan = plan.withColumn("cuts", F.coalesce("cuts", F.array().cast("array<bigint>")))
-    bucket = lambda t: F.expr(f"size(filter(cuts, c -> c <= unix_micros(cast({t} as timestamp))))")
-    name = lambda salt: F.concat_ws(":", F.lit("h"), F.xxhash64(*keys).cast("string"), F.col("b").cast("string"), salt.cast("string"))
-
-    e = ev.join(plan, keys, "left")
-    e_cold = e.where("salts is null").withColumn("g", cold)
-    e_hot = e.where("salts is not null").withColumn("b", bucket("at")).withColumn("g", name(F.pmod(F.xxhash64("ev_id"), F.col("salts"))))
-    v = ve.join(plan, keys, "left")
-    v_cold = v.where("salts is null").withColumn("g", cold)
-    v_hot = v.where("salts is not null").withColumn("b", bucket("known"))
+    ranged, _ = ordered_buckets(cut(both), keys, ["time"], group_rows)
+    per = ranged.groupBy(*keys, "bucket").agg(F.sum("is_ev").alias("n_ev")).withColumn("salts", F.greatest(F.lit(1), F.ceil(F.col("n_ev") / group_rows)).cast("int")).drop("n_ev")
+    per = cut(per)
+    name = lambda salt: F.concat_ws(":", F.lit("h"), F.xxhash64(*keys).cast("string"), F.col("bucket").cast("string"), salt.cast("string"))
+    e_hot = ranged.where("is_ev = 1").join(per, [*keys, "bucket"]).withColumn("g", name(F.pmod(F.xxhash64("ev_id"), F.col("salts"))))
+    v_hot = ranged.where("is_ev = 0").select(*keys, "bucket", *own_v)
     # what earlier ranges know: one best version per validity, kept until a later range has a newer one
-    best = v_hot.groupBy(*keys, "valid", "b").agg(F.max(F.struct("known", (-F.col("version_id")).alias("neg"))).alias("m"), F.first("cuts").alias("cuts"), F.first("salts").alias("salts"))
-    after = Window.partitionBy(*keys, "valid").orderBy("b")
-    until = F.coalesce(F.lead("b").over(after), F.size("cuts"))
-    carried = best.withColumn("until", until).where("until > b").withColumn("b", F.explode(F.expr("sequence(b + 1, until)")))
-    carried = carried.select(*keys, "valid", F.col("m.known").alias("known"), (-F.col("m.neg")).alias("version_id"), "b", "salts")
-    every = v_hot.select(*carried.columns).unionByName(carried)
+    best = v_hot.groupBy(*keys, "valid", "bucket").agg(F.max(F.struct("known", (-F.col("version_id")).alias("neg"))).alias("m"))
+    last = per.groupBy(*keys).agg(F.max("bucket").alias("last"))
+    after = Window.partitionBy(*keys, "valid").orderBy("bucket")
+    carried = best.join(last, keys).withColumn("until", F.coalesce(F.lead("bucket").over(after), F.col("last"))).where("until > bucket").withColumn("bucket", F.explode(F.expr("sequence(bucket + 1, until)")))
+    carried = carried.select(*keys, "bucket", "valid", F.col("m.known").alias("known"), (-F.col("m.neg")).alias("version_id"))
+    every = v_hot.unionByName(carried).join(per, [*keys, "bucket"])
     every = every.withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)"))).withColumn("g", name(F.col("salt")))
     ec, vc = [*ev.columns, "g"], [*ve.columns, "g"]
     return e_cold.select(*ec).unionByName(e_hot.select(*ec)), v_cold.select(*vc).unionByName(every.select(*vc))

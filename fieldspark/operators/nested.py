@@ -120,11 +120,16 @@ KEYS = {
     "betting": "cast(game_id as string) as parent_key, r.odds_source as child_key",
 }
 
-#: The JSON parser stops after a first document. Read inside brackets and inside braces, a body parses
-#: in both only if it is one document and nothing else.
-_WHOLE = _let(
-    "try_parse_json(concat('[', b, ']'))", "z",
-    """case when cardinality(try_variant_get(z, '$', 'array<variant>')) = 1 and try_parse_json(concat('{"d":', b, '}')) is not null then try_variant_get(z, '$[0]', 'variant') end""",
+#: The JSON parser stops after a first document. Read inside brackets and followed by a mark of its own, a body is one
+#: document and nothing else if that makes two elements and the second is the mark. A body that holds the mark itself is
+#: read inside brackets and inside braces instead: only one whole document parses in both.
+_MARK = "fieldspark-mark-7b1f4c9e"
+_WHOLE = (
+    f"case when contains(b, '{_MARK}') then "
+    + _let("try_parse_json(concat('[', b, ']'))", "z", """case when cardinality(try_variant_get(z, '$', 'array<variant>')) = 1 and try_parse_json(concat('{"d":', b, '}')) is not null then try_variant_get(z, '$[0]', 'variant') end""")
+    + " else "
+    + _let(f"""try_parse_json(concat('[', b, ',"{_MARK}"]'))""", "z", f"case when cardinality(try_variant_get(z, '$', 'array<variant>')) = 2 and try_variant_get(z, '$[1]', 'string') = '{_MARK}' then try_variant_get(z, '$[0]', 'variant') end")
+    + " end"
 )
 
 #: The text of the one object in a body, whatever it is wrapped in. Each layer has a character before the object's brace, whether
@@ -140,14 +145,15 @@ UNWRAPPED = "aggregate(sequence(1, greatest(1, length(substring_index(body, '{',
 def readable_documents(docs: DataFrame, key: str = "game_id", loaded: str = "loaded_at", row: str = "doc_row_id", body: str = "body") -> DataFrame:
     """game_id, doc (VARIANT): each key's readable document loaded last.
 
-    Only (key, time, id) are shuffled to find it; the bodies stay where they were read.
+    A body is parsed once; a task keeps one document per key before they are shuffled, so deliveries of a hot key meet
+    as one document per task.
     """
     d = docs.select(F.col(key).alias("game_id"), F.col(loaded).alias("loaded"), F.col(row).alias("row"), F.col(body).alias("body")).where("body is not null")
     as_id = f"try_cast({_id(_get('z', 'id', 'string'))} as bigint)"
     parsed = _let(_let(UNWRAPPED, "b", _WHOLE), "z", f"case when try_variant_get(z, '$', 'map<string,variant>') is not null then struct(coalesce(game_id, {as_id}) as game_id, z as doc) end")
-    d = d.select("loaded", "row", F.expr(parsed).alias("p"))
-    last = d.select("loaded", "row", "p.game_id").where("game_id is not null").groupBy("game_id").agg(F.max(F.struct("loaded", "row")).alias("m"))
-    return d.where("p is not null").select("row", "p.*").join(last.select("game_id", F.col("m.row").alias("row")), ["game_id", "row"], "left_semi").select("game_id", "doc")
+    # the generator keeps the parse from being copied into the filter
+    read = d.select("loaded", "row", F.expr(f"inline(filter(array({parsed}), p -> p.game_id is not null))"))
+    return read.groupBy("game_id").agg(F.max_by("doc", F.struct("loaded", "row")).alias("doc"))
 
 
 def flat_table(documents: DataFrame, name: str) -> DataFrame:
@@ -157,9 +163,10 @@ def flat_table(documents: DataFrame, name: str) -> DataFrame:
 
 
 def found_rows(documents: DataFrame) -> DataFrame:
-    """game_id, child, parent_key, child_key: one row per object of any of the tables."""
+    """game_id, child, parent_key, child_key: one row per object of any of the tables (repeats are next to each other once sorted)."""
     parts = [f"transform({rows}, r -> struct('{name}' as child, {KEYS[name]}))" for name, rows in TABLES.items()]
-    return documents.select("game_id", F.expr(f"inline(array_distinct(concat({', '.join(parts)})))"))
+    once = _let(f"sort_array(concat({', '.join(parts)}))", "s", "filter(s, (r, i) -> i = 0 or not (r <=> s[i - 1]))")
+    return documents.select("game_id", F.expr(f"inline({once})"))
 
 
 def athlete_stats(documents: DataFrame) -> DataFrame:

@@ -200,7 +200,7 @@ def test_running_values_of_a_large_key(spark):
 
 
 # ---------------------------------------------------------------- 5
-@pytest.mark.parametrize("group_rows", [10**6, 40, 7])
+@pytest.mark.parametrize("group_rows", [10**6, 40, 7, 1])
 def test_known_at_against_plain_python(spark, group_rows):
     rnd = random.Random(group_rows)
     at = lambda: T0 + dt.timedelta(hours=rnd.randrange(200))
