@@ -60,6 +60,12 @@ def minmax(c, w, inverted: bool = False) -> Column:
     return F.when(col(c).isNotNull(), F.coalesce(scaled, F.lit(1.0)))
 
 
+def scaled_between(c, lo, hi, inverted: bool = False) -> Column:
+    """Min-max scale between known bounds; equal bounds scale to 1."""
+    x = (col(hi) - col(c) if inverted else col(c) - col(lo)) / F.nullif(col(hi) - col(lo), F.lit(0.0))
+    return F.when(col(c).isNotNull(), F.coalesce(x, F.lit(1.0)))
+
+
 def logistic(c) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-col(c)))
 

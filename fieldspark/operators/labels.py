@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldspark.functions.exprs import back_fill
+from fieldspark.operators.prefix import join_back, running
 
 
 def next_event(rows: DataFrame, partition: list[str], order: list[str], is_event: Column, label: Column, default=None) -> DataFrame:
@@ -16,8 +17,8 @@ def next_event(rows: DataFrame, partition: list[str], order: list[str], is_event
 
 
 def group_total(rows: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """Largest value of the group on every row."""
-    return rows.withColumn(out, F.max(value).over(Window.partitionBy(*keys)))
+    """Largest value of the group on every row: an aggregate joined back, so that no group has to fit a task."""
+    return join_back(rows, rows.groupBy(*keys).agg(F.max(value).alias(out)), keys)
 
 
 def lagged(rows: DataFrame, keys: list[str], order: list[str], values: list[str], prefix: str = "prev_") -> DataFrame:
@@ -33,9 +34,9 @@ def rest_days(games: DataFrame, team: str, season: str, date: str, tie: str) ->
 
 
 def out_of_sequence(rows: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
-    """Rows with a smaller value somewhere after them."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
-    return rows.withColumn("later_min", F.min(value).over(w)).withColumn("late_overwrite", F.coalesce(F.col("later_min") < F.col(value), F.lit(False)))
+    """Rows with a smaller value somewhere after them; groups of any size."""
+    later = running(rows, keys, [F.desc(o) for o in order], minima={"later_min": value}, others=True)
+    return later.withColumn("late_overwrite", F.coalesce(F.col("later_min") < F.col(value), F.lit(False)))
 
 
 def last_n_mean(rows: DataFrame, key: str, order: list[Column], value: str, n: int, floor: float | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldspark.functions.exprs import american_prob, clip_null
+from fieldspark.operators.summaries import exact_percentiles
 
 # The default line that marks a game without a real one, and the widest spread taken as real.
 DEFAULT_SPREAD, DEFAULT_TOTAL = 2.5, 55.5
@@ -62,8 +63,9 @@ def backfill(games: DataFrame, lines: DataFrame, key: str) -> DataFrame:
 def devig(quotes: DataFrame, key: str, side: str, odds: str, sides: tuple[str, str] = ("home", "away")) -> DataFrame:
     """Median implied probability per side, scaled so both sum to 1."""
     a, b = sides
-    med = lambda s: F.median(F.when(F.col(side) == s, american_prob(odds)))
-    m = quotes.groupBy(key).agg(med(a).alias("a"), med(b).alias("b"))
+    mid = exact_percentiles(quotes.where(F.col(side).isin(a, b) & F.col(key).isNotNull()).select(key, side, american_prob(odds).alias("__p")), [key, side], "__p", [0.5])
+    med = lambda s: F.max(F.when(F.col(side) == s, F.col("q")))
+    m = mid.groupBy(key).agg(med(a).alias("a"), med(b).alias("b"))
     return m.select(key, F.try_divide(F.col("a"), F.col("a") + F.col("b")).alias(f"{a}_prob"), F.try_divide(F.col("b"), F.col("a") + F.col("b")).alias(f"{b}_prob"))
 
 

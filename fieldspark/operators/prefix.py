@@ -8,6 +8,8 @@ where no key is large there is one bucket and the window is an ordinary one.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +19,14 @@ from fieldspark.session import cut
 BUCKET_ROWS = 500_000
 
 
-def ordered_buckets(df: DataFrame, keys: list[str], order: list[str], rows: int | None = None) -> tuple[DataFrame, bool]:
+def join_back(rows: DataFrame, agg: DataFrame, keys: list[str]) -> DataFrame:
+    """Every row with its group's aggregates; NULL keys are a group too."""
+    right = agg.withColumnsRenamed({k: f"__k{i}" for i, k in enumerate(keys)})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    return rows.join(right, same, "left").drop(*[f"__k{i}" for i in range(len(keys))])
+
+
+def ordered_buckets(df: DataFrame, keys: list[str], order: list, rows: int | None = None) -> tuple[DataFrame, bool]:
     """(df with ``bucket``, whether any key was cut): buckets grow with ``order`` inside a key and hold about ``rows`` rows.
 
     Large keys are cut by Spark's range partitioner over (keys, order), whose sampled bounds balance rows; equal
@@ -30,15 +39,15 @@ def ordered_buckets(df: DataFrame, keys: list[str], order: list[str], rows: int
     return cut(df.repartitionByRange(-(-every // rows) + 1, *keys, *order).withColumn("bucket", F.spark_partition_id())), True
 
 
-def running(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, str] | None = None, maxima: dict[str, str] | None = None, rows: int | None = None) -> DataFrame:
-    """Adds columns: sums and maxima (name -> value column) over this and all earlier rows of the key, whatever the key's size.
+def running(df: DataFrame, keys: list[str], order: list, sums: dict[str, str] | None = None, maxima: dict[str, str] | None = None, minima: dict[str, str] | None = None, rows: int | None = None, others: bool = False) -> DataFrame:
+    """Adds columns: sums, maxima and minima (name -> value column) over this and all earlier rows of the key, whatever the key's size.
 
-    NULL adds nothing to a sum and is no maximum. Rows of equal order see each other's values in the order given only
-    if ``order`` is total.
+    With ``others`` the row itself is left out. ``order`` may hold descending columns. NULL adds nothing to a sum and is
+    no maximum. Rows of equal order see each other's values in the order given only if ``order`` is total.
     """
     cutdown, hot = ordered_buckets(df, keys, order, rows)
-    inside = Window.partitionBy(*keys, *(["bucket"] if hot else [])).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    aggs = {**{o: (F.sum, v) for o, v in (sums or {}).items()}, **{o: (F.max, v) for o, v in (maxima or {}).items()}}
+    inside = Window.partitionBy(*keys, *(["bucket"] if hot else [])).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if others else 0)
+    aggs = {**{o: (F.sum, v) for o, v in (sums or {}).items()}, **{o: (F.max, v) for o, v in (maxima or {}).items()}, **{o: (F.min, v) for o, v in (minima or {}).items()}}
     own = {o: f(v).over(inside) for o, (f, v) in aggs.items()}
     if not hot:
         return cutdown.withColumns({o: F.coalesce(c, F.lit(0)) if o in (sums or {}) else c for o, c in own.items()}).drop("bucket")
@@ -46,7 +55,7 @@ def running(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, st
     before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*keys, "bucket", *[f(f"__t_{o}").over(before).alias(f"__c_{o}") for o, (f, _) in aggs.items()])
     joined = cutdown.join(carry, [*keys, "bucket"], "left")
-    full = {o: F.coalesce(F.col(f"__c_{o}"), F.lit(0)) + F.coalesce(c, F.lit(0)) if o in (sums or {}) else F.greatest(F.col(f"__c_{o}"), c) for o, c in own.items()}
+    full = {o: F.coalesce(F.col(f"__c_{o}"), F.lit(0)) + F.coalesce(c, F.lit(0)) if o in (sums or {}) else (F.least if o in (minima or {}) else F.greatest)(F.col(f"__c_{o}"), c) for o, c in own.items()}
     return joined.withColumns(full).drop("bucket", *[f"__c_{o}" for o in aggs])
 
 

@@ -6,6 +6,9 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from fieldspark.functions.exprs import scaled_between
+from fieldspark.operators.prefix import join_back
 from pyspark.sql import types as T
 
 
@@ -136,3 +139,9 @@ def long_sides(games: DataFrame, shared: list[str], sides: dict[str, dict[str, s
     """Home and away as two rows from one scan; sides: label -> {output column: input column}."""
     each = F.array(*[F.struct(F.lit(label).alias("side"), *[F.col(src).alias(dst) for dst, src in cols.items()]) for label, cols in sides.items()])
     return games.select(*shared, F.inline(each))
+
+
+def scaled_within(rows: DataFrame, keys: list[str], value: str, out: str, inverted: bool = False) -> DataFrame:
+    """Min-max scale of a column within its group; the bounds are aggregates joined back, so that no group has to fit a task."""
+    bounds = rows.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
+    return join_back(rows, bounds, keys).withColumn(out, scaled_between(value, "__lo", "__hi", inverted)).drop("__lo", "__hi")

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldspark.functions.exprs import avg_rank, n_unique_null, safe_div, sum0
+from fieldspark.operators.prefix import running
+from fieldspark.session import broadcast_if_small, cut
 
 PHASES = {"all": F.lit, "pass": None, "rush": None}
 # Measures whose low values are good for the offense, and those ranked high-to-low for both sides.
@@ -83,13 +85,34 @@ def drive_yards(plays: DataFrame, side: str, keys: tuple[str, ...] = ("season",)
     return t.withColumn("available_yards_pct", safe_div("gained_yards", "available_yards"))
 
 
+def exact_percentiles(rows: DataFrame, keys: list[str], value: str, fractions: list[float]) -> DataFrame:
+    """keys..., i, q: exact linear percentiles (the i-th of ``fractions``) of a DOUBLE column per key (at least one); NULL and NaN are left out.
+
+    Values are counted first; running totals over ranges of values (never one task for a key) tell which value stands at
+    which place.
+    """
+    x = F.col(value).cast("double")
+    counts = rows.where(x.isNotNull() & ~F.isnan(x)).groupBy(*keys, x.alias("__x")).agg(F.count(F.lit(1)).alias("__n"))
+    counts = cut(counts)
+    upto = running(counts, keys, ["__x"], sums={"__upto": "__n"})
+    total = broadcast_if_small(counts.groupBy(*keys).agg(F.sum("__n").alias("__all")))
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(f)).alias("f")) for i, f in enumerate(fractions)])
+    placed = upto.join(total, keys).withColumn("__from", F.col("__upto") - F.col("__n"))
+    place = lambda w: w["f"] * (F.col("__all") - 1)
+    here = lambda p: (p >= F.col("__from")) & (p < F.col("__upto"))
+    hits = F.filter(F.transform(wanted, lambda w: F.struct(w["i"].alias("i"), place(w).alias("p"))), lambda w: here(F.floor(w["p"])) | here(F.ceil(w["p"])))
+    each = placed.where(F.size(hits) > 0).select(*keys, "__x", "__from", "__upto", F.inline(hits))
+    low, high = here(F.floor("p")), here(F.ceil("p"))
+    found = each.groupBy(*keys, "i", "p").agg(F.max(F.when(low, F.col("__x"))).alias("a"), F.max(F.when(high, F.col("__x"))).alias("b"))
+    return found.select(*keys, "i", (F.col("a") + (F.col("b") - F.col("a")) * (F.col("p") - F.floor("p"))).alias("q"))
+
+
 def percentile_table(rows: DataFrame, measures: list[str], partition: list[str] | None = None) -> DataFrame:
     """Exact linear percentiles 1..99 of each measure; NaN and NULL are left out."""
     part = partition or []
-    steps = F.array(*[F.lit(i / 100) for i in range(1, 100)])
-    p = rows.groupBy(*part).agg(*[F.percentile(F.when(~F.isnan(F.col(m).cast("double")), F.col(m).cast("double")), steps).alias(m) for m in measures])
-    idx = p.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(98))))
-    return idx.select(*part, (F.col("i") + 1).alias("pctile"), *[F.get(m, F.col("i")).alias(m) for m in measures])
+    long = rows.select(*part, F.inline(F.array(*[F.struct(F.lit(m).alias("__m"), F.col(m).cast("double").alias("__v")) for m in measures])))
+    q = exact_percentiles(long, [*part, "__m"], "__v", [i / 100 for i in range(1, 100)])
+    return q.groupBy(*part, (F.col("i") + 1).alias("pctile")).agg(*[F.max(F.when(F.col("__m") == m, F.col("q"))).alias(m) for m in measures])
 
 
 def game_excitement(plays: DataFrame, norm: float) -> DataFrame:

@@ -176,6 +176,28 @@ def full_outer_union(spark, d):
     return leaderboards.key_union([one("pass", leaderboards.PASSER, "att"), one("rush", leaderboards.RUNNER, "rushes")], keys, ["att", "rushes"])
 
 
+_PASSER = "coalesce(nullif(regexp_extract(play_text, '^(.+?) pass ', 1), ''), nullif(regexp_extract(play_text, '^(.+?) sacked ', 1), ''), nullif(regexp_extract(play_text, '^(.+?) pass intercepted', 1), ''))"
+#: Dropbacks for every team game; the invented names of the tables recur too seldom for the published 14.
+_PER_GAME = 0.15
+
+
+@query("with " + _PLAYS + f""", d as (select *, case when upper({_PASSER}) <> 'TEAM' then {_PASSER} end passer, coalesce(contains(lower(play_type), 'sack'), false) sk, coalesce(contains(lower(play_type), 'interception'), false) pk, coalesce(contains(lower(play_type), 'incompletion'), false) inc,
+  coalesce(contains(lower(play_type), 'touchdown'), false) td from ms where pass), tg as (select season, pos_team_id, count(distinct game_id) team_games from d group by 1, 2),
+b as (select season, pos_team_id, passer, count(*) filter (not sk and not pk) att, count(*) filter (not sk and not pk and not inc) comp, count(*) filter (not sk and not pk and not inc and td) passing_td,
+  coalesce(nullif(count(distinct game_id) filter (not sk and not pk), 0), count(distinct game_id)) games, count(*) filter (sk) sacked, count(*) filter (pk and not sk) pass_int, coalesce(sum(stat_yardage) filter (sk), 0) sack_yds, coalesce(sum(epa), 0) tepa,
+  coalesce(sum(stat_yardage) filter (not sk and not pk and not inc), 0) yards, avg(epa_success) filter (not sk and not pk) success from d where passer is not null group by 1, 2, 3),
+c as (select *, att + sacked + pass_int dropbacks, round(tepa / (att + sacked + pass_int), 9) epa_play, round(comp / nullif(att + pass_int, 0)::double, 9) comppct, round(yards / games::double / 400 * ((passing_td + pass_int) / (1.0 + abs(passing_td - pass_int))), 9) detmer from b join tg using (season, pos_team_id)),
+q as (select *, dropbacks >= {_PER_GAME} * team_games enough, case when dropbacks >= {_PER_GAME} * team_games then epa_play end x, case when dropbacks >= {_PER_GAME} * team_games then comppct end y from c)
+select season, pos_team_id, passer, att, comp, passing_td, games, sacked, pass_int, cast(yards as bigint) yards, dropbacks, team_games, round(tepa, 6) tepa, round(epa_play, 6) epa_play, round(comppct, 6) comppct, round(detmer, 6) detmer, round((yards - abs(sack_yds)) / dropbacks::double, 6) yards_dropback,
+  case when enough then """ + _AVG_RANK.format(x="x", p="season", d="desc", t="season, pos_team_id, passer") + " end epa_play_rank, case when enough then " + _AVG_RANK.format(x="y", p="season", d="desc", t="season, pos_team_id, passer") + " end comppct_rank from q")
+def leaderboard_passers(spark, d):
+    p = measured(spark, d).where("pass")
+    who = F.coalesce(*[leaderboards.actor(F.col("play_text"), x) for x in (leaderboards.PASSER, leaderboards.SACKED, leaderboards.PICKED)])
+    b = leaderboards.passer_board(p, who, ["season", "pos_team_id"], _PER_GAME, ["season"])
+    counts = ["att", "comp", "passing_td", "games", "sacked", "pass_int", F.col("yards").cast("bigint").alias("yards"), "dropbacks", "team_games"]
+    return b.select("season", "pos_team_id", "passer", *counts, *[r6(c) for c in ("tepa", "epa_play", "comppct", "detmer", "yards_dropback")], "epa_play_rank", "comppct_rank")
+
+
 @query("""with pairs as (select distinct school, abbreviation, team_id from teams where school is not null and abbreviation is not null and team_id is not null)
 select * from pairs anti join (select school, abbreviation from pairs group by 1, 2 having count(*) > 1) using (school, abbreviation)""")
 def ambiguous_anti(spark, d):
@@ -452,7 +474,7 @@ def zscore_filter(spark, d):
 
 @query("select o_orderkey, round(coalesce((o_totalprice - min(o_totalprice) over (partition by o_orderpriority)) / nullif(max(o_totalprice) over (partition by o_orderpriority) - min(o_totalprice) over (partition by o_orderpriority), 0), 1.0), 6) scaled from orders")
 def minmax_scale(spark, d):
-    return table(spark, d, "orders").select("o_orderkey", rnd(X.minmax("o_totalprice", Window.partitionBy("o_orderpriority")), 6).alias("scaled"))
+    return reshape.scaled_within(table(spark, d, "orders"), ["o_orderpriority"], "o_totalprice", "s").select("o_orderkey", rnd("s", 6).alias("scaled"))
 
 
 @query("with " + _PLAYS + """, t as (select pos_team_id, avg(success) - 0.4 sr, avg(stat_yardage) - 6 ypp from ms group by 1)
@@ -568,25 +590,43 @@ def cell_shares(spark, d):
 
 
 # ---------------------------------------------------------------- box scores, logs, labels
-_BOX = """, box as (select game_id, pos_team_id team_id, count(*) filter (sc) plays, count(distinct drive_id) drives, avg(case when sc then cast(coalesce(case start_down when 1 then stat_yardage >= 0.5 * start_distance when 2 then stat_yardage >= 0.7 * start_distance
-  else case when start_down >= 4 then stat_yardage >= start_distance end end, false) as double) end) success_rate, avg(case when sc then cast(coalesce(stat_yardage >= 15, false) as double) end) explosive_rate, avg(case when sc then epa end) epa_play,
-  count(distinct case when yards_to_goal <= 40 then drive_id end) chances, count(*) filter (regexp_matches(lower(play_type), 'interception')) picks, count(*) filter (regexp_matches(lower(play_type), 'fumble recovery [(]opponent[)]')) fumbles,
-  count(*) filter (regexp_matches(lower(play_type), 'sack')) sacks, count(*) filter (regexp_matches(lower(play_type), 'incompletion') and regexp_matches(play_text, '(?i)broken up')) broken_up, count(*) n
-  from (select *, coalesce(pass, false) or coalesce(rush, false) sc from plays) where game_id is not null and pos_team_id is not null group by 1, 2)"""
+#: Expected points by yard line, by the same rule as CURVE.
+YARD_LINE_CURVE = [round(-1.0 + 0.07 * i, 4) for i in range(101)]
+_EP = "(-1 + 0.07 * greatest(0, least(100, {0})))"
+_OK = "coalesce(case start_down when 1 then stat_yardage >= 0.5 * start_distance when 2 then stat_yardage >= 0.7 * start_distance else case when start_down >= 4 then stat_yardage >= start_distance end end, false)"
+_BOX = f""", pl as (select *, coalesce(pass, false) or coalesce(rush, false) sc, {_OK} ok, 100 - yards_to_goal yl, {_EP.format('100 - yards_to_goal + stat_yardage')} - {_EP.format('100 - yards_to_goal')} eq0, stat_yardage is not null and yards_to_goal is not null known,
+  coalesce(try_cast(regexp_extract(play_text, '(?i) (?:kickoff|punt) for ([0-9]+) y', 1) as int), 0) ky from plays where game_id is not null and pos_team_id is not null),
+dr0 as (select game_id, pos_team_id team_id, drive_id, arg_min(yl, (coalesce(game_play_number, -1), play_id)) filter (yl is not null) st, coalesce(sum(stat_yardage) filter (sc), 0) gained,
+  max(case when contains(lower(play_type), 'touchdown') then 7 when contains(lower(play_type), 'field goal good') then 3 else 0 end) pts from pl where drive_id is not null group by 1, 2, 3),
+dr as (select game_id, team_id, count(*) drives, count(*) filter (st + gained >= 60) chances, coalesce(avg(pts) filter (st + gained >= 60), 0) ppc, count(*) filter (st + gained >= 60 and pts > 0) scored from dr0 group by 1, 2),
+bx as (select game_id, pos_team_id team_id, count(*) filter (sc) plays, avg(cast(ok as double)) filter (sc) success_rate, avg(case when sc then cast(coalesce(stat_yardage >= 15, false) as double) end) explosive_rate, avg(epa) filter (sc) epa_play,
+  avg(eq0) filter (sc and known) eq_ppp, coalesce(avg(eq0) filter (sc and ok and known), 0) iso_ppp, coalesce(avg({_EP.format('yl + ky')} - {_EP.format('yl')}) filter (lower(play_type) = 'kickoff' and yl is not null), 0) kick_ppp,
+  case when count(*) filter (lower(play_type) = 'kickoff') > 0 then -1.0 else 0.0 end kick_return_ppp, coalesce(avg({_EP.format('yl + ky')} - {_EP.format('yl')}) filter (lower(play_type) = 'punt' and yl is not null), 0) punt_ppp,
+  count(*) filter (regexp_matches(lower(play_type), 'interception')) picks, count(*) filter (regexp_matches(lower(play_type), 'fumble recovery [(]opponent[)]')) fumbles,
+  count(*) filter (regexp_matches(lower(play_type), 'sack')) sacks, count(*) filter (regexp_matches(lower(play_type), 'incompletion') and regexp_matches(play_text, '(?i)broken up')) broken_up, count(*) n from pl group by 1, 2),
+box as (select bx.*, coalesce(drives, 0) drives, coalesce(chances, 0) chances, coalesce(ppc, 0) ppc, coalesce(chances / drives::double, 0) cr, coalesce(scored / drives::double, 0) cs from bx left join dr using (game_id, team_id))"""
+
+
+@query("with " + _PLAYS + _BOX + " select game_id, team_id, plays, drives, round(success_rate, 6) success_rate, round(explosive_rate, 6) explosive_rate, round(epa_play, 6) epa_play, round(eq_ppp, 6) eq_ppp, round(iso_ppp, 6) iso_ppp, round(punt_ppp, 6) punt_ppp, round(ppc, 6) points_per_chance, chances, picks + fumbles turnovers, round(0.22 * (broken_up + picks) + 0.49 * fumbles, 6) expected_turnovers, round((picks + fumbles + sacks) / n::double, 6) havoc_rate from box")
+def game_boxes(spark, d):
+    b = boxscore.game_boxes(all_plays(spark, d), YARD_LINE_CURVE)
+    return b.select("game_id", "team_id", "plays", "drives", *[r6(c) for c in ("success_rate", "explosive_rate", "epa_play", "eq_ppp", "iso_ppp", "punt_ppp", "points_per_chance")], "chances", "turnovers", r6("expected_turnovers"), r6("havoc_rate"))
 
 
-@query("with " + _PLAYS + _BOX + " select game_id, team_id, plays, drives, round(success_rate, 6) success_rate, round(explosive_rate, 6) explosive_rate, round(epa_play, 6) epa_play, chances, picks + fumbles turnovers, round(0.22 * (broken_up + picks) + 0.49 * fumbles, 6) expected_turnovers, round((picks + fumbles + sacks) / n::double, 6) havoc_rate from box")
-def game_boxes(spark, d):
-    b = boxscore.game_boxes(all_plays(spark, d))
-    return b.select("game_id", "team_id", "plays", "drives", *[r6(c) for c in ("success_rate", "explosive_rate", "epa_play")], "chances", "turnovers", r6("expected_turnovers"), r6("havoc_rate"))
+def _diff(c: str, name: str) -> str:
+    return f"case when two then {c} * 2 - sum({c}) over w end {name}"
+
+
+def _range(x: str, lo: float, hi: float, out: float) -> str:
+    return f"(greatest(least({x}, {hi}), {lo}) - {lo}) / {hi - lo} * {out}"
 
 
-@query("with " + _PLAYS + _BOX + """, o as (select *, picks + fumbles t, 0.22 * (broken_up + picks) + 0.49 * fumbles et, chances / nullif(drives, 0)::double cr, sacks / n::double sr, (picks + fumbles + sacks) / n::double hr, count(*) over (partition by game_id) = 2 two from box),
-df as (select *, case when two then success_rate * 2 - sum(success_rate) over w end a, case when two then epa_play * 2 - sum(epa_play) over w end b, case when two then cr * 2 - sum(cr) over w end c, case when two then sr * 2 - sum(sr) over w end s, case when two then hr * 2 - sum(hr) over w end h, case when two then t * 2 - sum(t) over w end dt from o window w as (partition by game_id))
-select game_id, team_id, case when a is null or b is null or c is null then null else round(0.35 * (greatest(least(a, 1), -1) + 1) * 5 + 0.30 * (greatest(least(b, 2), -2) + 2) * 2.5 + 0.15 * (greatest(least(c, 1), -1) + 1) * 5 + 0.10 * (greatest(least(0.37 * a - 0.21 * dt / greatest(1, plays), 10), -10) + 10) / 2
-  + 0.10 * ((greatest(least(et - t, 5), -5) + 5) * 0.3 + (greatest(least(s, 1), -1) + 1) * 1.5 + (greatest(least(h, 1), -1) + 1) * 2), 6) end rating from df""")
+@query("with " + _PLAYS + _BOX + ", o as (select *, picks + fumbles t, 0.22 * (broken_up + picks) + 0.49 * fumbles et, sacks / n::double sr, (picks + fumbles + sacks) / n::double hr, count(*) over (partition by game_id) = 2 two from box), df as (select *, "
+    + ", ".join(_diff(c, n) for c, n in (("success_rate", "a"), ("eq_ppp", "b"), ("ppc", "p"), ("cr", "c"), ("cs", "e"), ("sr", "s"), ("hr", "h"), ("t", "dt"))) + " from o window w as (partition by game_id)) select game_id, team_id, case when a is null or b is null or p is null then null else round(0.35 * "
+    + _range("a", -1, 1, 10) + " + 0.30 * " + _range("b", -2, 2, 10) + " + 0.15 * (" + _range("p", -7, 7, 3.5) + " + " + _range("c", -1, 1, 4) + " + " + _range("e", -1, 1, 2.5) + ") + 0.10 * "
+    + _range("0.37 * a - 0.21 * dt / greatest(1, plays) + 0.22 * (kick_ppp - kick_return_ppp)", -10, 10, 10) + " + 0.10 * (" + _range("et - t", -5, 5, 3) + " + " + _range("s", -1, 1, 3) + " + " + _range("h", -1, 1, 4) + "), 6) end rating from df")
 def five_factors(spark, d):
-    return boxscore.five_factors(boxscore.game_boxes(all_plays(spark, d))).select("game_id", "team_id", r6("rating"))
+    return boxscore.five_factors(boxscore.game_boxes(all_plays(spark, d), YARD_LINE_CURVE)).select("game_id", "team_id", r6("rating"))
 
 
 @query("with " + _GAMES + " select game_id, home_id team_id, away_id opponent_id, true is_home, home_score - away_score margin, case when home_score > away_score then true when home_score < away_score then false end win from games where home_id is not null union all select game_id, away_id, home_id, false, away_score - home_score, case when away_score > home_score then true when away_score < home_score then false end from games where away_id is not null")

@@ -292,3 +292,42 @@ def test_windowed_stream(spark, data, tmp_path):
     assert spark.sql("select sum(n) from windowed").first()[0] == spark.read.parquet(f"{data}/events.parquet").count()
     assert {"start", "end"} <= set(snapshots.sessions(ev, "ts", "user_id").columns)
     assert snapshots.first_deliveries(ev, "event_id", "ts").isStreaming
+
+
+# ---------------------------------------------------------------- leaderboards, ranges, groups
+def test_passer_board_keeps_who_only_lost_the_ball(spark):
+    rows = [("A", "Pass Reception", 2.0, 20, 1), ("A", "Passing Touchdown", 4.0, 30, 1), ("A", "Pass Incompletion", -1.0, 0, 2), ("A", "Sack", -3.0, -8, 2), ("A", "Interception Return", -4.0, None, 2), ("B", "Sack", -2.0, -5, 1), ("C", "Interception Return", -5.0, None, 3), (None, "Sack", -1.0, -1, 1)]
+    df = spark.createDataFrame([(1, p, k, e, float(e > 0), y, g) for p, k, e, y, g in rows], "team int, who string, play_type string, epa double, epa_success double, stat_yardage int, game_id int")
+    got = {r.passer: r for r in leaderboards.passer_board(df, F.col("who"), ["team"], 1.0).collect()}
+    a, b, c = got["A"], got["B"], got["C"]
+    assert set(got) == {"A", "B", "C"} and a.team_games == 3
+    assert (a.att, a.comp, a.sacked, a.pass_int, a.dropbacks, a.games, a.yards, a.tepa, a.passing_td) == (3, 2, 1, 1, 5, 2, 50, -2.0, 1)
+    assert a.comppct == 0.5 and a.epa_play == pytest.approx(-0.4) and a.yards_dropback == pytest.approx(42 / 5) and a.detmer == pytest.approx(25 / 400 * 2) and a.epa_play_rank == 1.0
+    assert (b.att, b.sacked, b.games, b.tepa, b.comppct, b.success, b.epa_play_rank) == (0, 1, 1, -2.0, None, None, None) and (c.pass_int, c.comppct, c.tepa) == (1, 0.0, -5.0)
+
+
+def test_receiver_board(spark):
+    texts = [("Al Bo pass complete to Cy Dee for 9 yds", "Pass Reception", 9), ("Al Bo pass incomplete to Cy Dee", "Pass Incompletion", 0), ("Al Bo pass complete to Cy Dee for 30 yds", "Passing Touchdown", 30), ("Al Bo pass incomplete", "Pass Incompletion", 0)]
+    df = spark.createDataFrame([(1, t, k, 1.0, 1.0, y, 1) for t, k, y in texts], "team int, play_text string, play_type string, epa double, epa_success double, stat_yardage int, game_id int")
+    (r,) = leaderboards.receiver_board(df, leaderboards.actor(F.col("play_text"), leaderboards.CATCHER), ["team"]).collect()
+    assert (r.receiver, r.targets, r.comp, r.yards, r.td, r.catchpct, r.epa_play_rank) == ("Cy Dee", 3, 2, 39, 1, pytest.approx(2 / 3), 1.0)
+
+
+def test_percentiles_of_large_keys_are_exact(spark, monkeypatch):
+    from fieldspark.operators import prefix
+
+    rng = np.random.default_rng(3)
+    rows = [(k, float(v)) for k, n in (("a", 101), ("b", 7), ("c", 1)) for v in rng.integers(0, 30, n)] + [("a", None), ("a", float("nan"))]
+    df = spark.createDataFrame(rows, "k string, v double")
+    for limit in (1000, 5):
+        monkeypatch.setattr(prefix, "BUCKET_ROWS", limit)
+        got = {(r.k, r.i): r.q for r in summaries.exact_percentiles(df, ["k"], "v", [0.0, 0.1, 0.5, 0.975, 1.0]).collect()}
+        for k in "abc":
+            v = [x for g, x in rows if g == k and x is not None and x == x]
+            assert [got[k, i] for i in range(5)] == pytest.approx(np.quantile(v, [0.0, 0.1, 0.5, 0.975, 1.0]).tolist())
+
+
+def test_groups_joined_back_keep_unknown_keys(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "k string, v double")
+    assert sorted((r.k or "", r.v, r.s) for r in reshape.scaled_within(df, ["k"], "v", "s").collect()) == [("", 1.0, 0.0), ("", 3.0, 1.0), ("a", 5.0, 1.0)]
+    assert sorted((r.k or "", r.v, r.t) for r in labels.group_total(df, ["k"], "v", "t").collect()) == [("", 1.0, 3.0), ("", 3.0, 3.0), ("a", 5.0, 5.0)]
