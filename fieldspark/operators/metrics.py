@@ -88,3 +88,33 @@ def distribution_scores(df: DataFrame, mu: str, sigma: str, y: str) -> DataFrame
     m, s, t = F.col(mu), F.col(sigma), F.col(y).cast("double")
     pit = norm_cdf((t - m) / s)
     return df.agg(F.count(F.lit(1)).alias("n"), F.avg(crps_normal(m, s, t)).alias("crps"), F.avg(F.ln(s) + F.lit(0.9189385332046727) + (t - m) * (t - m) / (2 * s * s)).alias("log_score"), F.avg(pit).alias("pit_mean"), F.var_pop(pit).alias("pit_var"))
+
+
+def rounded_calibration_mae(rows: DataFrame, pred: str, actual: str, per_unit: float = 1.0) -> DataFrame:
+    """mae, bins, n: predictions rounded to bins of 1 / per_unit, mean distance of the bins' means weighted by rows."""
+    b = rows.groupBy(F.round(F.col(pred) * F.lit(per_unit)).cast("bigint").alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.avg(pred).alias("p"), F.avg(actual).alias("a"))
+    return b.agg(F.try_divide(F.sum(F.col("n") * F.abs(F.col("p") - F.col("a"))), F.sum("n")).alias("mae"), F.count(F.lit(1)).alias("bins"), F.sum("n").alias("n"))
+
+
+def welch(rows: DataFrame, group: str, a: str, b: str, value: str) -> DataFrame:
+    """t, df of the difference of two groups' means with unequal variances, from one aggregate."""
+    on = lambda g: F.when(F.col(group) == g, F.col(value).cast("double"))
+    s = rows.agg(*[f(on(g)).alias(f"{k}_{i}") for i, g in enumerate((a, b)) for k, f in (("m", F.avg), ("v", F.var_samp), ("n", F.count))])
+    va, vb = F.col("v_0") / F.col("n_0"), F.col("v_1") / F.col("n_1")
+    df = F.try_divide((va + vb) * (va + vb), va * va / (F.col("n_0") - 1) + vb * vb / (F.col("n_1") - 1))
+    return s.select(F.try_divide(F.col("m_0") - F.col("m_1"), F.sqrt(va + vb)).alias("t"), df.alias("df"))
+
+
+def shape(rows: DataFrame, value: str) -> DataFrame:
+    """n, sd, skewness and excess kurtosis (population moments)."""
+    return rows.agg(F.count(value).alias("n"), F.stddev_pop(value).alias("sd"), F.skewness(value).alias("skewness"), F.kurtosis(value).alias("excess_kurtosis"))
+
+
+def chi_square(rows: DataFrame, a: str, b: str) -> DataFrame:
+    """chi2, df of the independence of two columns; rows are counted per cell first."""
+    cells = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    by = lambda c: cells.groupBy(c).agg(F.sum("n").alias(f"n_{c}"))
+    every = cells.agg(F.sum("n").alias("all"), F.count_distinct("a").alias("ka"), F.count_distinct("b").alias("kb"))
+    share = cells.join(by("a"), "a").join(by("b"), "b").agg(F.sum(F.col("n") * F.col("n") / (F.col("n_a") * F.col("n_b"))).alias("s"))
+    e = every.first()
+    return share.select(((F.col("s") - 1) * F.lit(e["all"])).alias("chi2"), F.lit((e["ka"] - 1) * (e["kb"] - 1)).cast("bigint").alias("df"))

@@ -86,6 +86,37 @@ def with_measures(plays: DataFrame) -> DataFrame:
     return p.withColumn("highlight_yards", highlight).withColumn("opp_highlight_yards", F.when(rush, F.when(F.col("opportunity_run"), highlight).otherwise(F.lit(0.0))))
 
 
+def model_rows(plays: DataFrame, deny: list[str], required: list[str]) -> DataFrame:
+    """Plays a model is fitted on: downs 1 to 4, a known type that is not on the deny list, the required columns known."""
+    return plays.where(F.col("start_down").between(1, 4) & ~F.col("play_type").isin(deny)).dropna(subset=required)
+
+
+def competitive(plays: DataFrame, low: float = 0.1, high: float = 0.9, wp: str = "wp_before") -> DataFrame:
+    """Plays of undecided games: win probability within the range; NULL is not."""
+    return plays.where(F.col(wp).between(low, high))
+
+
+def passes(plays: DataFrame, allow: list[str]) -> DataFrame:
+    """Passes of the allowed types only."""
+    return plays.where(F.coalesce("pass", F.lit(False)) & F.col("play_type").isin(allow))
+
+
+def drives(plays: DataFrame) -> DataFrame:
+    """One row per game and drive: plays, team, periods, start, yards and how it ended (in the order of the play numbers)."""
+    turn = F.struct(F.coalesce("game_play_number", F.lit(-1)), "play_id")
+    known = lambda c: F.when(F.col(c).isNotNull(), turn)
+    return plays.where("game_id is not null and drive_id is not null").groupBy("game_id", "drive_id").agg(
+        F.count(F.lit(1)).alias("n_plays"), F.min_by("pos_team_id", known("pos_team_id")).alias("team_id"), F.min("period").alias("first_period"), F.max("period").alias("last_period"),
+        F.min_by("yards_to_goal", known("yards_to_goal")).alias("start_yards_to_goal"), F.coalesce(F.sum("stat_yardage"), F.lit(0)).alias("yards"), F.max_by("play_type", known("play_type")).alias("result"),
+    )
+
+
+def seeded_share(rows: DataFrame, key: str, share: float, seed: int = 42) -> DataFrame:
+    """The same rows for the same seed, whatever the partitioning: those whose hash falls into the share."""
+    u = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return rows.where(u < F.lit(share))
+
+
 def whole_group_filter(rows: DataFrame, key: str, bad: Column, keep: bool = False) -> DataFrame:
     """Rows of the groups in which no row is ``bad`` (or, with ``keep``, some row is)."""
     marked = rows.where(bad).select(key).distinct()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldspark.functions import exprs as X
-from fieldspark.operators import boxscore, gates, labels, leaderboards, metrics, models, odds, plays, records, reshape, summaries, weekly
+from fieldspark.operators import boxscore, fourth_down, gates, labels, leaderboards, metrics, models, odds, plays, records, reshape, summaries, weekly
 from fieldspark.plans.problems import latest_games
 from fieldspark.session import table
 
@@ -677,6 +677,78 @@ def next_score_classes(spark, d):
     return p.select("play_id", "next_score", "label")
 
 
+# ---------------------------------------------------------------- decisions, drives, filters, joins, tests
+@query("with " + _PLAYS + """, f as (select play_id, yards_to_goal y, start_distance d, wp_before from plays where start_down = 4 and yards_to_goal is not null and start_distance is not null and start_distance <= yards_to_goal and wp_before > 0 and wp_before < 1),
+w as (select f.*, i, 1.0 / (1 + abs(i - 10 - 4)) p, ln(wp_before / (1 - wp_before)) l, greatest(least(i - 10, y), y - 99) g from f, (select unnest(range(76)) i)), n as (select *, p / sum(p) over (partition by play_id) q, g >= d kept, g >= d and g = y scored from w),
+a as (select *, not kept or scored lost, case when scored then 75 when not kept then 100 - (y - g) else y - g end s from n),
+v as (select *, case when lost then -l - case when scored then 0.9 else 0.0 end else l end + 0.15 * (3 - 0.06 * s) lw from a), z as (select *, case when lost then 1 - 1 / (1 + exp(-lw)) else 1 / (1 + exp(-lw)) end wp from v)
+select play_id, round(sum(q * wp), 6) go_wp, round(coalesce(sum(q) filter (kept), 0), 6) first_down_prob, round(sum(q * wp) filter (kept) / sum(q) filter (kept), 6) wp_succeed, round(sum(q * wp) filter (not kept) / sum(q) filter (not kept), 6) wp_fail from z group by 1""")
+def fourth_down_go(spark, d):
+    """Fourth downs under stand-in models (the tables carry no scores or clock): the margin is the log-odds before the play over 0.15 points."""
+    p = all_plays(spark, d).where("start_down = 4 and yards_to_goal is not null and start_distance is not null and start_distance <= yards_to_goal and wp_before > 0 and wp_before < 1")
+    weights = F.transform(F.sequence(F.lit(0), F.lit(fourth_down.GAINS - 1)), lambda i: F.lit(1.0) / (1 + F.abs(i - 14)))
+    p = p.select("play_id", "yards_to_goal", F.col("start_distance").alias("distance"), (X.logit("wp_before") / 0.15).alias("margin"), F.lit(1800).alias("seconds"), F.lit(3).alias("own_timeouts"), F.lit(3).alias("other_timeouts"), weights.alias("w"))
+    p = p.withColumn("t", F.aggregate("w", F.lit(0.0), lambda a, x: a + x)).withColumn("probs", F.transform("w", lambda x: x / F.col("t")))
+    got = fourth_down.decide(p, "probs", ["play_id"], lambda s: X.logistic(0.15 * (s["margin"] + 3 - 0.06 * s["yards_to_goal"])))
+    return got.select("play_id", *[r6(c) for c in ("go_wp", "first_down_prob", "wp_succeed", "wp_fail")])
+
+
+@query("with " + _PLAYS + """ select game_id, drive_id, count(*) n_plays, arg_min(pos_team_id, (coalesce(game_play_number, -1), play_id)) filter (pos_team_id is not null) team_id, min(period) first_period, max(period) last_period,
+  arg_min(yards_to_goal, (coalesce(game_play_number, -1), play_id)) filter (yards_to_goal is not null) start_yards_to_goal, cast(coalesce(sum(stat_yardage), 0) as bigint) yards, arg_max(play_type, (coalesce(game_play_number, -1), play_id)) filter (play_type is not null) as "result" from plays where game_id is not null and drive_id is not null group by 1, 2""")
+def drives_table(spark, d):
+    return plays.drives(all_plays(spark, d)).withColumn("yards", F.col("yards").cast("bigint"))
+
+
+@query("with " + _PLAYS + " select play_id, start_down, start_distance, epa, wp_before from plays where start_down between 1 and 4 and play_type not in ('Timeout', 'Penalty', 'Kickoff') and epa is not null and (wp_before between 0.1 and 0.9)")
+def model_rows(spark, d):
+    p = plays.competitive(plays.model_rows(all_plays(spark, d), ["Timeout", "Penalty", "Kickoff"], ["epa"]))
+    return p.select("play_id", "start_down", "start_distance", "epa", "wp_before")
+
+
+@query("with " + _PLAYS + "," + _SIDE + """, names as (select team_id, school, conference from teams where team_id is not null and school is not null qualify row_number() over (partition by team_id order by added_at desc nulls last, team_row_id desc) = 1)
+select a.season, a.team_id, n.school, n.conference, a.plays, round(a.epa_play, 6) epa_play from agg a left join names n using (team_id) where a.phase = 'all' and a.side = 'off'""")
+def named_summaries(spark, d):
+    """Season summaries with each team's name as registered last."""
+    t = table(spark, d, "teams").where("team_id is not null and school is not null")
+    names = t.groupBy("team_id").agg(F.max_by(F.struct("school", "conference"), F.struct("added_at", "team_row_id")).alias("n")).select("team_id", "n.*")
+    s = summaries.side_summaries(measured(spark, d)).where("phase = 'all' and side = 'off'")
+    return s.join(names, "team_id", "left").select("season", "team_id", "school", "conference", "plays", r6("epa_play"))
+
+
+@query("with " + _PLAYS + _WEEKLY + """, rt as (select season, team_id, avg(adj_net) adj_net, count(*) draws from cfb_ratings_2025 where adj_net is not null and not isnan(adj_net) and season is not null and team_id is not null group by 1, 2)
+select c.season, c.team_id, c.through_week, cast(c.n as bigint) n, round(c.epa, 6) epa, round(r.adj_net, 6) adj_net, coalesce(r.draws, 0) draws from cum c left join rt r on r.season = c.season and r.team_id = c.team_id""")
+def weekly_ratings(spark, d):
+    """Weekly snapshots with the mean of the season's rating draws."""
+    r = table(spark, d, "cfb_ratings_2025").where("adj_net is not null and not isnan(adj_net) and season is not null and team_id is not null")
+    r = r.groupBy("season", "team_id").agg(F.avg("adj_net").alias("adj_net"), F.count(F.lit(1)).alias("draws"))
+    return _snapshots(spark, d).join(r, ["season", "team_id"], "left").select("season", "team_id", "through_week", "n", r6("epa"), r6("adj_net"), F.coalesce("draws", F.lit(0)).alias("draws"))
+
+
+@query("with b as (select cast(round(adj_net * 20) as bigint) as bin, count(*) n, avg(adj_net) p, avg(fei_net) a from cfb_ratings_2025 where adj_net is not null and fei_net is not null and not isnan(adj_net) and not isnan(fei_net) and not isinf(adj_net) and not isinf(fei_net) group by 1) select round(sum(n * abs(p - a)) / sum(n), 6) mae, count(*) bins, cast(sum(n) as bigint) n from b")
+def rounded_calibration(spark, d):
+    r = table(spark, d, "cfb_ratings_2025").where(X.finite("adj_net").isNotNull() & X.finite("fei_net").isNotNull())
+    return metrics.rounded_calibration_mae(r, "adj_net", "fei_net", 20.0).select(r6("mae"), "bins", "n")
+
+
+@query("""with s as (select l_returnflag g, avg(l_extendedprice) m, var_samp(l_extendedprice) v, count(*) n from lineitem where l_returnflag in ('A', 'R') group by 1), p as (select max(case g when 'A' then m end) ma, max(case g when 'R' then m end) mb, max(case g when 'A' then v / n end) va, max(case g when 'R' then v / n end) vb, max(case g when 'A' then n end) na, max(case g when 'R' then n end) nb from s)
+select round((ma - mb) / sqrt(va + vb), 6) t, round((va + vb) * (va + vb) / (va * va / (na - 1) + vb * vb / (nb - 1)), 2) df from p""")
+def welch_test(spark, d):
+    return metrics.welch(table(spark, d, "lineitem"), "l_returnflag", "A", "R", "l_extendedprice").select(r6("t"), rnd("df", 2).alias("df"))
+
+
+@query("""with x as (select l_extendedprice - 1500.0 * l_quantity r from lineitem), m as (select avg(r) mu from x), c as (select avg((r - mu) ** 2) m2, avg((r - mu) ** 3) m3, avg((r - mu) ** 4) m4, count(*) n from x, m)
+select n, round(sqrt(m2), 4) sd, round(m3 / m2 ** 1.5, 6) skewness, round(m4 / (m2 * m2) - 3, 6) excess_kurtosis from c""")
+def residual_shape(spark, d):
+    x = table(spark, d, "lineitem").select((F.col("l_extendedprice") - 1500.0 * F.col("l_quantity")).alias("r"))
+    return metrics.shape(x, "r").select("n", rnd("sd", 4).alias("sd"), r6("skewness"), r6("excess_kurtosis"))
+
+
+@query("""with o as (select o_orderstatus a, o_orderpriority b, count(*) n from orders group by 1, 2), t as (select *, sum(n) over (partition by a) ra, sum(n) over (partition by b) rb, sum(n) over () al from o)
+select round(sum(n * n / (ra * rb / al::double)) - max(al), 6) chi2, (count(distinct a) - 1) * (count(distinct b) - 1) df from t""")
+def chi_square(spark, d):
+    return metrics.chi_square(table(spark, d, "orders"), "o_orderstatus", "o_orderpriority").select(r6("chi2"), "df")
+
+
 # ---------------------------------------------------------------- without SQL: iterative or numeric
 @query()
 def opponent_adjusted(spark, d):

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldspark.functions import exprs as X
-from fieldspark.operators import gates, labels, leaderboards, metrics, models, odds, plays, reshape, summaries, weekly
+from fieldspark.operators import fourth_down, gates, labels, leaderboards, metrics, models, odds, plays, reshape, summaries, weekly
 from fieldspark.sources import readers, sinks
 from fieldspark.streaming import snapshots
 
@@ -331,3 +331,47 @@ def test_groups_joined_back_keep_unknown_keys(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "k string, v double")
     assert sorted((r.k or "", r.v, r.s) for r in reshape.scaled_within(df, ["k"], "v", "s").collect()) == [("", 1.0, 0.0), ("", 3.0, 1.0), ("a", 5.0, 1.0)]
     assert sorted((r.k or "", r.v, r.t) for r in labels.group_total(df, ["k"], "v", "t").collect()) == [("", 1.0, 3.0), ("", 3.0, 3.0), ("a", 5.0, 5.0)]
+
+
+# ---------------------------------------------------------------- fourth downs, samples, tests
+def test_fourth_down_against_every_outcome(spark):
+    rng = np.random.default_rng(9)
+    win = lambda y, m, s: 1 / (1 + math.exp(-(0.1 * m + 0.02 * (50 - y) + 0.0001 * s)))
+    rows, want = [], {}
+    for k in range(40):
+        y = int(rng.integers(1, 100))
+        d = int(rng.integers(1, y + 1)) if k % 3 else min(y, 2)
+        m, s, own, other = float(rng.integers(-14, 15)), int(rng.choice([1800, 125, 84, 30])), int(rng.integers(0, 4)), int(rng.integers(0, 4))
+        p = rng.dirichlet(np.ones(76))
+        rows.append((k, p.tolist(), y, d, m, s, own, other))
+        go = ok = okw = 0.0
+        for i in range(76):
+            g = max(min(i - 10, y), y - 99)
+            left = max(s - 6, 0)
+            short = lambda t: (t == 0 and left < 120) or (t == 1 and left < 80) or (t == 2 and left < 40)  # noqa: B023, E731
+            if g < d:
+                w = 0.0 if -m < 0 and short(own) else 1 - win(100 - (y - g), -m, left)
+            elif g == y:
+                w = 1 - win(75, -m - 6, left)
+            else:
+                w = 1.0 if m > 0 and short(other) else win(y - g, m, left)
+            go += p[i] * w
+            if g >= d:
+                ok, okw = ok + p[i], okw + p[i] * w
+        want[k] = (go, ok, okw / ok if ok else None, (go - okw) / (1 - ok) if ok < 1 else None)
+    df = spark.createDataFrame(rows, "k int, probs array<double>, yards_to_goal int, distance int, margin double, seconds int, own_timeouts int, other_timeouts int")
+    head = lambda s: X.logistic(0.1 * s["margin"] + 0.02 * (50 - s["yards_to_goal"]) + 0.0001 * s["seconds"])
+    got = {r.k: (r.go_wp, r.first_down_prob, r.wp_succeed, r.wp_fail) for r in fourth_down.decide(df, "probs", ["k"], head).collect()}
+    for k, w in want.items():
+        assert got[k] == pytest.approx(w, abs=1e-9)
+
+
+def test_seeded_share_ignores_partitions(spark):
+    a = {r.id for r in plays.seeded_share(spark.range(2000, numPartitions=1), "id", 0.25).collect()}
+    assert a == {r.id for r in plays.seeded_share(spark.range(2000, numPartitions=7), "id", 0.25).collect()} and 400 < len(a) < 600
+
+
+def test_play_filters(spark):
+    df = spark.createDataFrame([(1, "Rush", False, 0.5, 1.0), (4, "Sack", True, 0.95, 1.0), (5, "Rush", False, 0.5, 1.0), (2, "Timeout", None, None, 1.0), (3, None, True, 0.5, 1.0), (3, "Sack", True, 0.5, None)], "start_down int, play_type string, pass boolean, wp_before double, epa double")
+    assert [r.start_down for r in plays.model_rows(df, ["Timeout"], ["epa"]).orderBy("start_down").collect()] == [1, 4]
+    assert plays.competitive(df).count() == 4 and plays.passes(df, ["Sack"]).count() == 2
