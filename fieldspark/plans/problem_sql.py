@@ -54,6 +54,41 @@ union all select g, 'team_stat', pk, {_STAT} from e4 where what = 'teams_stats'
 union all select g, 'athlete_line', pk, {_ATHLETE} from e5 where {_ATHLETE} is not null
 union all select g, 'betting', g::varchar, ck from bets where ck is not null)"""
 
+# ---------------------------------------------------------------- 6, the flat tables
+def _rows(table: str, carry: str) -> str:
+    """The objects of a block with their key or place; keyed blocks in the order of their keys."""
+    n = "unnest(range(json_array_length(x)::bigint))"
+    key = "unnest(list_sort(json_keys(x)))"
+    return f"""select g, {carry}, what, k, i, v from (
+  select g, {carry}, what, null k, {n} i, json_extract(x, '$[' || {n} || ']') v from {table} where json_type(x) = 'ARRAY'
+  union all select g, {carry}, what, null, 0, x from {table} where json_type(x) = 'OBJECT' and ({_LONE})
+  union all select g, {carry}, what, {key}, unnest(range(len(json_keys(x)))), json_extract(x, '$."' || {key} || '"') from {table} where json_type(x) = 'OBJECT' and not ({_LONE})) where json_type(v) = 'OBJECT' and len(json_keys(v)) > 0"""
+
+
+_SHOWN = "coalesce(" + ", ".join(f"case when json_type(v, '$.{f}') = 'DOUBLE' then regexp_replace(json_extract_string(v, '$.{f}'), '[.]0+$', '') else json_extract_string(v, '$.{f}') end" for f in ("displayValue", "value")) + ")"  # a number has no zero decimals
+_FLAT = NESTED[: NESTED.index("e1 as (")] + f"""
+f1 as ({_rows('blocks', 'pk')}),
+comps as (select g, {_id("coalesce(json_extract_string(v, '$.id'), k)")} comp, 'sides' what, json_extract(v, '$.competitors') x from f1 where what = 'comp'),
+f2 as ({_rows('comps', 'comp')}),
+sd as (select g, comp, {_TEAM} team, i, 'lines' what, json_extract(v, '$.linescores') x from f2 where comp is not null and {_TEAM} is not null),
+f3 as ({_rows('sd', 'comp, team')}),
+tm as (select g, {_TEAM} team, json_extract_string(v, '$.homeAway') home_away, what || '_stats' what, json_extract(v, '$.statistics') x from f1 where what in ('teams', 'players') and {_TEAM} is not null),
+f4 as ({_rows('tm', 'team, home_away')}),
+cats as (select g, team, coalesce({_txt('name')}, k) category, json_extract(v, '$.keys') keys, 'athletes' what, json_extract(v, '$.athletes') x from f4 where what = 'players_stats' and coalesce({_txt('name')}, k) is not null),
+f5 as ({_rows('cats', 'team, category, keys')}),
+lines as (select g, team, category, i, coalesce({_ATHLETE}, case when coalesce(json_type(v, '$.athlete'), 'NULL') = 'NULL' then {_id('k')} end) athlete,
+  case when json_type(keys) = 'ARRAY' then keys->>'$[*]' end ks, case when json_type(v, '$.stats') = 'ARRAY' then json_extract_string(v, '$.stats[*]') end st from f5),
+zipped as (select g, team, category, athlete, i, unnest(range(1, len(st) + 1)) p, ks, st from lines where athlete is not null and st is not null),
+named as (select g, team, category, athlete, i, case when len(ks) = len(st) then ks[p] else 'stat_' || (p - 1) end stat, st[p] val from zipped)
+"""
+FLAT = {
+    "p6_competitors": _FLAT + "select g game_id, comp competition, team, cast(i as int) i from sd",
+    "p6_linescores": _FLAT + f"select g game_id, comp competition, team, cast(coalesce(try_cast(k as int), i + 1) as int) period, {_SHOWN} score from f3",
+    "p6_team_stats": _FLAT + f"select g game_id, team, home_away, {_STAT} stat, cast(i as int) i, {_SHOWN} as \"value\" from f4 where what = 'teams_stats' and {_STAT} is not null",
+    "p6_betting_lines": _FLAT + f"select g game_id, coalesce({_txt('odds_source')}, k) odds_source, cast(i as int) i, try_cast(json_extract_string(v, '$.game_spread') as double) game_spread, try_cast(json_extract_string(v, '$.over_under') as double) over_under, try_cast(json_extract_string(v, '$.home_favorite') as boolean) home_favorite from f1 where what = 'betting' and coalesce({_txt('odds_source')}, k) is not null",
+    "p6_athlete_stats": _FLAT + "select g game_id, team, category, athlete, cast(i as int) i, stat, val as \"value\" from named qualify row_number() over (partition by g, team, category, athlete, stat order by i) = 1",
+}
+
 # ---------------------------------------------------------------- 7
 DRIFT = r"""
 with recursive files as (select feed_id f, file_no n, row_number() over (partition by feed_id order by file_no) i from (select distinct feed_id, file_no from raw_records where feed_id is not null and file_no is not null)),

@@ -225,6 +225,6 @@ select x.load_no, x.col, x.n_rows, x.n_nulls, x.distinct_values, x.violations, x
 from m x left join m y on y.load_no = x.load_no - 1 and y.col = x.col""",
     "p5_found": "with " + _KNOWN + "select game_id, team_id, row_id from got",
     "p5_features": "with " + _KNOWN + "select g.game_id, g.team_id, g.season, g.row_id, n.through_week, n.epaplay_off, n.epaplay_def, n.talent_composite, n.blue_chip_ratio, n.off_returning, n.overall_returning from got g join cfb_higher_models n using (row_id)",
-    "p6_found": problem_sql.NESTED,
+    "p6_found": problem_sql.NESTED, **problem_sql.FLAT,
     "p7_found": problem_sql.DRIFT,
 }
