@@ -79,7 +79,7 @@ def drive_yards(plays: DataFrame, side: str, keys: tuple[str, ...] = ("season",)
     """Available and gained yards per drive (first and last play by number), summed per team."""
     d = plays.where(F.col("drive_id").isNotNull() & F.col(side).isNotNull())
     per = d.groupBy(*keys, F.col(side).alias("team_id"), "drive_id").agg(
-        F.min_by("yards_to_goal", F.struct("game_play_number", "play_id")).alias("available"), F.sum(F.coalesce("stat_yardage", F.lit(0))).alias("gained")
+        F.min_by("yards_to_goal", F.when(F.col("yards_to_goal").isNotNull(), F.struct(F.coalesce("game_play_number", F.lit(-1)), "play_id"))).alias("available"), F.sum(F.coalesce("stat_yardage", F.lit(0))).alias("gained")
     )
     t = per.groupBy(*keys, "team_id").agg(sum0("available").alias("available_yards"), sum0("gained").alias("gained_yards"))
     return t.withColumn("available_yards_pct", safe_div("gained_yards", "available_yards"))

@@ -126,14 +126,13 @@ def phase_split(spark, d):
 
 
 @query("with " + _PLAYS + """
-, per as (select season, pos_team_id team_id, drive_id, arg_min(yards_to_goal, (game_play_number, play_id)) available, sum(coalesce(stat_yardage, 0)) gained from plays where drive_id is not null and pos_team_id is not null group by 1, 2, 3)
+, per as (select season, pos_team_id team_id, drive_id, arg_min(yards_to_goal, (coalesce(game_play_number, -1), play_id)) filter (yards_to_goal is not null) available, sum(coalesce(stat_yardage, 0)) gained from plays where drive_id is not null and pos_team_id is not null group by 1, 2, 3)
 select season, team_id, cast(coalesce(sum(available), 0) as bigint) available_yards, cast(sum(gained) as bigint) gained_yards, round(sum(gained) / nullif(sum(available), 0)::double, 6) available_yards_pct from per group by 1, 2""")
 def first_last_two_level(spark, d):
-    t = summaries.drive_yards(all_plays(spark, d).where("yards_to_goal is not null and game_play_number is not null"), "pos_team_id")
+    t = summaries.drive_yards(all_plays(spark, d), "pos_team_id")
     return t.select("season", "team_id", F.col("available_yards").cast("bigint").alias("available_yards"), F.col("gained_yards").cast("bigint").alias("gained_yards"), r6("available_yards_pct"))
 
 
-SQL["first_last_two_level"] = SQL["first_last_two_level"].replace("from plays where drive_id", "from plays where yards_to_goal is not null and game_play_number is not null and drive_id")
 _RUSHERS = ", who as (select *, case when regexp_extract(play_text, '^(.+?) (?:run|rush) for ', 1) <> '' and upper(regexp_extract(play_text, '^(.+?) (?:run|rush) for ', 1)) <> 'TEAM' then regexp_extract(play_text, '^(.+?) (?:run|rush) for ', 1) end player from ms where rush)"
 
 
@@ -287,9 +286,12 @@ def latest_attendance(spark, d):
     return summaries.latest_per_key(table(spark, d, "schedules").where("game_id is not null"), ["game_id"], F.desc("loaded_at")).select("game_id", "attendance")
 
 
-@query("select season, count(*) as \"rows\", " + ", ".join(f"count(*) filter ({c} is null) null_{c}" for c in ("home_id", "away_id", "home_score", "venue", "attendance")) + " from schedules group by 1")
+_ARCHIVE = "game_id week season_type kickoff home_id away_id neutral_site home_score away_score venue attendance status loaded_at".split()
+
+
+@query("select season, count(*) as \"rows\", " + ", ".join(f"count(*) filter ({c} is null) null_{c}" for c in _ARCHIVE) + " from schedules group by 1")
 def archive_report(spark, d):
-    return odds.archive_report(table(spark, d, "schedules").select("season", "home_id", "away_id", "home_score", "venue", "attendance"))
+    return odds.archive_report(table(spark, d, "schedules"))
 
 
 # ---------------------------------------------------------------- windows and labels
@@ -784,13 +786,13 @@ def kde_density(spark, d):
 
 @query()
 def normal_scores(spark, d):
-    g = game_margins(spark, d).where("margin is not null").select(F.lit(2.5).alias("mu"), F.lit(16.0).alias("sigma"), "margin")
-    return metrics.distribution_scores(g, "mu", "sigma", "margin")
+    g = models.strength_forecasts(game_margins(spark, d).withColumn("league", F.lit("all")), "league").where("margin is not null")
+    return metrics.distribution_scores(g.select(F.col("expected").alias("mu"), F.sqrt("variance").alias("sigma"), "margin"), "mu", "sigma", "margin")
 
 
 @query()
 def spline_smooth(spark, d):
-    s = plays.scrimmage(all_plays(spark, d)).where("stat_yardage is not null and yards_to_goal is not null and start_distance is not null")
+    s = plays.scrimmage(all_plays(spark, d)).where("stat_yardage is not null and yards_to_goal is not null")
     out, _ = models.spline_fit(s.select("play_id", "epa", F.col("stat_yardage").cast("double").alias("gain"), F.col("yards_to_goal").cast("double").alias("ytg")), ["gain", "ytg"], "epa")
     return out.select("play_id", "smooth")
 

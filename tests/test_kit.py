@@ -366,6 +366,16 @@ def test_fourth_down_against_every_outcome(spark):
         assert got[k] == pytest.approx(w, abs=1e-9)
 
 
+def test_ridge_is_standardised(spark):
+    rng = np.random.default_rng(2)
+    x = np.column_stack([rng.normal(size=60), rng.normal(scale=500, size=60), np.ones(60)])
+    y = 2 + x[:, 0] - 0.01 * x[:, 1] + rng.normal(size=60)
+    got = models.ridge(spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "y": y})), ["a", "b", "c"], "y")
+    z = (x[:, :2] - x[:, :2].mean(0)) / x[:, :2].std(0)
+    beta = np.linalg.solve(z.T @ z + 10 * np.eye(2), z.T @ (y - y.mean())) / x[:, :2].std(0)
+    assert [got["a"], got["b"], got["c"]] == pytest.approx([*beta, 0.0]) and got["intercept"] == pytest.approx(y.mean() - x[:, :2].mean(0) @ beta)
+
+
 def test_seeded_share_ignores_partitions(spark):
     a = {r.id for r in plays.seeded_share(spark.range(2000, numPartitions=1), "id", 0.25).collect()}
     assert a == {r.id for r in plays.seeded_share(spark.range(2000, numPartitions=7), "id", 0.25).collect()} and 400 < len(a) < 600
