@@ -20,14 +20,16 @@ Defined results
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fieldspark.functions.exprs import plain_text, squash_key
-from fieldspark.session import broadcast_if_small, shared_folder
+from fieldspark.session import broadcast_if_small, read_text, shared_folder, write_text
 
 #: More attributes than this is an error, as every attribute is a column of the plan.
 MAX_ATTRIBUTES = 5000
@@ -176,11 +178,11 @@ class WideTableLog:
         self.spark, self.path, self.lay = spark, path.rstrip("/"), lay or Layout()
 
     def _write(self, df: DataFrame, part: str) -> None:
-        df.drop("run").limit(0).write.mode("ignore").parquet(f"{self.path}/{part}_layout")
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(f"{self.path}/{part}")
+        write_text(self.spark, f"{self.path}/{part}.schema", df.drop("run").schema.json())  # an empty log has no file to tell it
 
     def _read(self, part: str) -> DataFrame:
-        schema = self.spark.read.parquet(f"{self.path}/{part}_layout").schema
+        schema = StructType.fromJson(json.loads(read_text(self.spark, f"{self.path}/{part}.schema")))
         return self.spark.read.schema(schema).parquet(f"{self.path}/{part}")
 
     def _write_runs(self, cells: DataFrame) -> None:
@@ -194,7 +196,7 @@ class WideTableLog:
         run = (run if isinstance(run, Column) else F.lit(run)).cast("string")
         cells = readings(rows, self.lay, run).select("run", *self.lay.entity, "key", F.struct("version", "tie", "a", "b").alias("cell"))
         self._write_runs(latest(cells, ["run", *self.lay.entity, "key"]))
-        self._write(name_counts(rows, self.lay, run).coalesce(1), "names")
+        self._write(name_counts(rows, self.lay, run), "names")
 
     def _single_cells(self) -> DataFrame:
         return self._read("runs").select(*self.lay.entity, F.explode("cells").alias("key", "cell"))
@@ -232,7 +234,8 @@ class WideTableLog:
 
     def long(self) -> DataFrame:
         """entity..., stat, val of the filled cells (pairs as 1000 x first + second)."""
-        names = F.create_map(*[F.lit(x) for kv in self.catalogue() for x in kv]) if self.catalogue() else F.create_map().cast("map<string,string>")
+        known = self.catalogue()
+        names = F.create_map(*[F.lit(x) for kv in known for x in kv]) if known else F.create_map().cast("map<string,string>")
         val = F.when(F.col("cell.b").isNull(), F.col("cell.a")).otherwise(F.col("cell.a") * 1000 + F.col("cell.b"))
         return self.cells().select(*self.lay.entity, F.try_element_at(names, F.col("attribute_key")).alias("stat"), val.alias("val"))
 
@@ -241,7 +244,7 @@ class WideTableLog:
         out = WideTableLog(self.spark, target, self.lay)
         out._write_runs(latest(self._single_cells(), [*self.lay.entity, "key"]).withColumn("run", F.lit("0")))
         counts = self._read("names").groupBy("label", "name").agg(F.sum("n").alias("n")).withColumn("run", F.lit("0"))
-        out._write(counts.select("run", "label", "name", "n").coalesce(1), "names")
+        out._write(counts.select("run", "label", "name", "n"), "names")
         return out
 
 

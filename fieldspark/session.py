@@ -61,6 +61,27 @@ def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def _file(spark: SparkSession, path: str):
+    here = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), here
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in the shared folder, without a job."""
+    fs, here = _file(spark, path)
+    out = fs.create(here, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, here = _file(spark, path)
+    stream = fs.open(here)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return text
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
