@@ -108,6 +108,24 @@ def lookup(values: list[float], c) -> Column:
     return F.when(i.isNotNull(), F.get(F.array(*[F.lit(float(v)) for v in values]), i))
 
 
+# The last seasons of the first three rule eras.
+ERAS = (2006, 2013, 2020)
+
+
+def era(season, bounds: tuple[int, ...] = ERAS) -> Column:
+    """Ordinal era of a season, from 0; a NULL season is of the last era."""
+    out = F.lit(len(bounds))
+    for i, last in reversed(list(enumerate(bounds))):
+        out = F.when(col(season) <= last, i).otherwise(out)
+    return out
+
+
+def era_dummies(season, bounds: tuple[int, ...] = ERAS) -> list[Column]:
+    """0/1 columns era0, era1, ...; all NULL for a NULL season."""
+    e = F.when(col(season).isNotNull(), era(season, bounds))
+    return [(e == i).cast("int").alias(f"era{i}") for i in range(len(bounds) + 1)]
+
+
 # ---------------------------------------------------------------- order and rank
 def avg_rank(c, by: list, tie: list, ascending: bool = True, partition: list | None = None) -> Column:
     """Average-tie rank, NULL last.

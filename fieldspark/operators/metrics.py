@@ -118,3 +118,13 @@ def chi_square(rows: DataFrame, a: str, b: str) -> DataFrame:
     share = cells.join(by("a"), "a").join(by("b"), "b").agg(F.sum(F.col("n") * F.col("n") / (F.col("n_a") * F.col("n_b"))).alias("s"))
     e = every.first()
     return share.select(((F.col("s") - 1) * F.lit(e["all"])).alias("chi2"), F.lit((e["ka"] - 1) * (e["kb"] - 1)).cast("bigint").alias("df"))
+
+
+#: Mean of ln|z| over a standard normal z: -(Euler's constant + ln 2) / 2.
+LOG_ABS_NORMAL = -(0.5772156649015329 + 0.6931471805599453) / 2
+
+
+def sigma_from_logs(rows: DataFrame, residual: str, groups: tuple[str, ...]) -> DataFrame:
+    """groups..., n, sigma: spread of normal residuals from the mean of their logarithms; residuals of 0 are left out."""
+    e = F.abs(F.col(residual).cast("double"))
+    return rows.where(e > 0).groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.exp(F.avg(F.ln(e)) - F.lit(LOG_ABS_NORMAL)).alias("sigma"))

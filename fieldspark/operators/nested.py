@@ -162,6 +162,13 @@ def flat_table(documents: DataFrame, name: str) -> DataFrame:
     return rows.drop("v")
 
 
+def power_index(documents: DataFrame) -> DataFrame:
+    """game_id, i, fields: the items of a document's power index (a list, or an object that holds one); none: no rows."""
+    block = f"coalesce({_get('doc', 'power_index.items', 'array<variant>')}, {_get('doc', 'power_index', 'array<variant>')}, array())"
+    items = f"filter(transform({block}, (e, i) -> struct(i as i, try_variant_get(e, '$', 'map<string,string>') as fields)), x -> cardinality(x.fields) > 0)"
+    return documents.select("game_id", F.expr(f"inline({items})"))
+
+
 def found_rows(documents: DataFrame) -> DataFrame:
     """game_id, child, parent_key, child_key: one row per object of any of the tables (repeats are next to each other once sorted)."""
     parts = [f"transform({rows}, r -> struct('{name}' as child, {KEYS[name]}))" for name, rows in TABLES.items()]

@@ -51,6 +51,11 @@ def spread_time(spread: Column, is_home: Column, elapsed_share: Column, decay: f
     return F.when(is_home, spread).otherwise(-spread) * F.exp(F.lit(decay) * elapsed_share)
 
 
+def team_total(home_spread: Column, total: Column, is_home: Column) -> Column:
+    """Points expected of the team with the ball; a side that is not known to be at home counts as away."""
+    return (total + F.when(F.coalesce(is_home, F.lit(False)), home_spread).otherwise(-home_spread)) / 2.0
+
+
 def backfill(games: DataFrame, lines: DataFrame, key: str) -> DataFrame:
     """Fill spreads that are no real line from the consensus; a filled game says so."""
     gap = missing_spread(F.col("spread"), F.col("total"), F.col("available"))

@@ -59,3 +59,35 @@ def resume(games: DataFrame, strength: DataFrame, team: str, opponent: str) -> D
     s = strength.select(F.col("team_id").alias(opponent), F.col("strength").alias("opp_strength"))
     j = games.join(s, opponent, "left").withColumn("win", (F.col("margin") > 0).cast("double"))
     return j.groupBy(team).agg(F.count(F.lit(1)).alias("games"), F.sum("win").alias("wins"), F.avg("opp_strength").alias("sos"), F.avg("margin").alias("margin")).withColumn("win_rate", safe_div("wins", "games"))
+
+
+# What an unknown pass rate or pace counts as in a matchup.
+EVEN_RATE, USUAL_PACE = 0.5, 70.0
+
+
+def matchup_features(games: DataFrame, sides: DataFrame, season: str = "season") -> DataFrame:
+    """Games with the features of the pairing: edges (own offense plus what the other defense allows), pass rates, pace, and both combined.
+
+    games: game_id, season, home_id, away_id; sides: season, team_id, side (off, def), pass_epa, rush_epa, pass_rate, pace.
+    Unknown values count as 0, half and USUAL_PACE. One row per team and side joins twice, no row multiplies.
+    """
+    values = ["pass_epa", "rush_epa", "pass_rate", "pace"]
+    teams = sides.groupBy(season, "team_id").agg(*[F.max(F.when(F.col("side") == s, F.col(v))).alias(f"{v}_{s}") for s in ("off", "def") for v in values])
+    out = games
+    for at in ("home", "away"):
+        named = teams.select(F.col(season), F.col("team_id").alias(f"{at}_id"), *[F.col(f"{v}_{s}").alias(f"__{at}_{v}_{s}") for s in ("off", "def") for v in values])
+        out = out.join(named, [season, f"{at}_id"], "left")
+    known = lambda c, default: F.coalesce(F.col(c), F.lit(default))
+    f = {}
+    for at, other in (("home", "away"), ("away", "home")):
+        for phase in ("pass", "rush"):
+            f[f"{phase}_edge_{at}"] = known(f"__{at}_{phase}_epa_off", 0.0) + known(f"__{other}_{phase}_epa_def", 0.0)
+        f[f"pass_rate_{at}"] = 0.5 * known(f"__{at}_pass_rate_off", EVEN_RATE) + 0.5 * known(f"__{other}_pass_rate_def", EVEN_RATE)
+    out = out.withColumns({**f, "pace_expected": 0.5 * known("__home_pace_off", USUAL_PACE) + 0.5 * known("__away_pace_off", USUAL_PACE)})
+    out = out.withColumns({f"{p}_edge_net": F.col(f"{p}_edge_home") - F.col(f"{p}_edge_away") for p in ("pass", "rush")})
+    rate = F.col("pass_rate_home")
+    both = {
+        "epa_net": (rate * F.col("pass_edge_net") + (1 - rate) * F.col("rush_edge_net")) * F.col("pace_expected"),
+        "epa_total": (F.col("pass_edge_home") + F.col("pass_edge_away") + F.col("rush_edge_home") + F.col("rush_edge_away")) * F.col("pace_expected"),
+    }
+    return out.withColumns(both).drop(*[c for c in out.columns if c.startswith("__")])

@@ -751,6 +751,39 @@ def chi_square(spark, d):
     return metrics.chi_square(table(spark, d, "orders"), "o_orderstatus", "o_orderpriority").select(r6("chi2"), "df")
 
 
+_SIDES = "x as (select season, side, team_id, max(case phase when 'pass' then epa_play end) pe, max(case phase when 'rush' then epa_play end) re, max(case phase when 'all' then passrate end) pr, max(case phase when 'all' then plays / n_games::double end) pace from agg group by 1, 2, 3)"
+
+
+@query("with " + _PLAYS + "," + _SIDE + "," + _GAMES + "," + _SIDES + """, j as (select g.game_id, coalesce(ho.pe, 0) + coalesce(ad.pe, 0) peh, coalesce(ao.pe, 0) + coalesce(hd.pe, 0) pea, coalesce(ho.re, 0) + coalesce(ad.re, 0) reh, coalesce(ao.re, 0) + coalesce(hd.re, 0) rea,
+  0.5 * coalesce(ho.pr, 0.5) + 0.5 * coalesce(ad.pr, 0.5) rate, 0.5 * coalesce(ho.pace, 70) + 0.5 * coalesce(ao.pace, 70) pace from games g left join x ho on ho.season = g.season and ho.team_id = g.home_id and ho.side = 'off' left join x hd on hd.season = g.season and hd.team_id = g.home_id and hd.side = 'def'
+  left join x ao on ao.season = g.season and ao.team_id = g.away_id and ao.side = 'off' left join x ad on ad.season = g.season and ad.team_id = g.away_id and ad.side = 'def')
+select game_id, round(peh - pea, 6) pass_edge_net, round(reh - rea, 6) rush_edge_net, round(rate, 6) pass_rate_home, round(pace, 6) pace_expected, round((rate * (peh - pea) + (1 - rate) * (reh - rea)) * pace, 6) epa_net, round((peh + pea + reh + rea) * pace, 6) epa_total from j""")
+def matchup_features(spark, d):
+    s = summaries.side_summaries(measured(spark, d))
+    of = lambda phase, c: F.max(F.when(F.col("phase") == phase, F.col(c)))
+    sides = s.groupBy("season", "team_id", "side").agg(of("pass", "epa_play").alias("pass_epa"), of("rush", "epa_play").alias("rush_epa"), of("all", "passrate").alias("pass_rate"), of("all", "plays_game").alias("pace"))
+    m = weekly.matchup_features(latest_games(spark, d).select("game_id", "season", "home_id", "away_id"), sides)
+    return m.select("game_id", *[r6(c) for c in ("pass_edge_net", "rush_edge_net", "pass_rate_home", "pace_expected", "epa_net", "epa_total")])
+
+
+@query("select o_orderkey, " + ", ".join(f"cast({c} as int) era{i}" for i, c in enumerate(("y <= 1996", "y > 1996 and y <= 1998", "y > 1998 and y <= 2000", "y > 2000"))) + " from (select o_orderkey, year(o_orderdate) y from orders)")
+def era_dummies(spark, d):
+    return table(spark, d, "orders").withColumn("y", F.year("o_orderdate")).select("o_orderkey", *X.era_dummies("y", (1996, 1998, 2000)))
+
+
+@query("with " + _GAMES + "," + _LONG + """ select s.game_id, s.team_id, (g.home_score + g.away_score + case when s.team_id = g.home_id then g.home_score - g.away_score else g.away_score - g.home_score end) / 2.0 team_total from sides s join games g using (game_id)""")
+def team_totals(spark, d):
+    """Each side's total, with the game's own margin and total in place of the lines."""
+    g = latest_games(spark, d).select("game_id", "home_id", (F.col("home_score") - F.col("away_score")).alias("spread"), (F.col("home_score") + F.col("away_score")).alias("total"))
+    return team_games(spark, d).select("game_id", "team_id").join(g, "game_id").select("game_id", "team_id", odds.team_total(F.col("spread"), F.col("total"), F.col("team_id") == F.col("home_id")).alias("team_total"))
+
+
+@query("select l_returnflag, count(*) n, round(exp(avg(ln(abs(r))) + (0.5772156649015329 + 0.6931471805599453) / 2), 4) sigma from (select l_returnflag, l_extendedprice - 1500.0 * l_quantity r from lineitem) where r <> 0 group by 1")
+def residual_sigma(spark, d):
+    x = table(spark, d, "lineitem").select("l_returnflag", (F.col("l_extendedprice") - 1500.0 * F.col("l_quantity")).alias("r"))
+    return metrics.sigma_from_logs(x, "r", ("l_returnflag",)).select("l_returnflag", "n", rnd("sigma", 4).alias("sigma"))
+
+
 # ---------------------------------------------------------------- without SQL: iterative or numeric
 @query()
 def opponent_adjusted(spark, d):

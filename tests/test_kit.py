@@ -385,3 +385,16 @@ def test_play_filters(spark):
     df = spark.createDataFrame([(1, "Rush", False, 0.5, 1.0), (4, "Sack", True, 0.95, 1.0), (5, "Rush", False, 0.5, 1.0), (2, "Timeout", None, None, 1.0), (3, None, True, 0.5, 1.0), (3, "Sack", True, 0.5, None)], "start_down int, play_type string, pass boolean, wp_before double, epa double")
     assert [r.start_down for r in plays.model_rows(df, ["Timeout"], ["epa"]).orderBy("start_down").collect()] == [1, 4]
     assert plays.competitive(df).count() == 4 and plays.passes(df, ["Sack"]).count() == 2
+
+
+def test_eras_and_totals(spark):
+    df = spark.createDataFrame([(y,) for y in (2004, 2006, 2007, 2013, 2014, 2020, 2021, None)], "y int")
+    assert [r[0] for r in df.select(X.era("y")).collect()] == [0, 0, 1, 1, 2, 2, 3, 3]
+    assert [tuple(r) for r in df.where("y = 2013 or y is null").select(*X.era_dummies("y")).collect()] == [(0, 1, 0, 0), (None,) * 4]
+    assert tuple(one(spark, odds.team_total(F.lit(7.0), F.lit(50.0), F.lit(True)), odds.team_total(F.lit(7.0), F.lit(50.0), F.lit(None).cast("boolean")))) == (28.5, 21.5)
+
+
+def test_sigma_is_recovered(spark):
+    rng = np.random.default_rng(0)
+    df = spark.createDataFrame(pd.DataFrame({"g": 1, "e": rng.normal(scale=16.0, size=20000)}))
+    assert metrics.sigma_from_logs(df, "e", ("g",)).first().sigma == pytest.approx(16.0, rel=0.03)

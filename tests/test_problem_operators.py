@@ -257,6 +257,12 @@ def test_nested_tables_keep_links(spark):
     assert nested.found_rows(nested.readable_documents(docs(spark, []))).count() == 0
 
 
+def test_power_index_items(spark):
+    bodies = [(1, 0, '{"power_index": {"items": [{"team": "5", "fpi": 1.5}, {}, 3]}}'), (2, 0, '{"power_index": [{"team": 6}]}'), (3, 0, '{"power_index": {"season": 2024}}'), (4, 0, "{}")]
+    got = nested.power_index(nested.readable_documents(docs(spark, bodies))).collect()
+    assert sorted((r.game_id, r.i, r.fields["team"]) for r in got) == [(1, 0, "5"), (2, 0, "6")]
+
+
 # ---------------------------------------------------------------- 7
 def raw(spark, files):
     rows = [(f, "d", n, json.dumps(r) if r is not None else "{broken") for (f, n), recs in files.items() for r in recs]
